@@ -18,6 +18,7 @@ from lamina.operators.surrogate import ensure_checkpoint_dir
 from lamina.plans import answers, bronze, checks, gold, silver
 from lamina.schemas import BRONZE, bronze_schema
 from lamina.sources.csv import read_csv
+from lamina.sources.tables import empty
 
 AS_OF = datetime(2024, 6, 30)
 DAY_BEFORE = AS_OF - timedelta(days=1)
@@ -179,7 +180,7 @@ def _registry() -> dict[str, Callable[[Flow], DataFrame]]:
     entries: dict[str, Callable[[Flow], DataFrame]] = {}
     for table in BRONZE:
         entries[f"bronze_{table}"] = lambda f, t=table: bronze.increment(
-            f.raw(t), f.spark.createDataFrame([], bronze_schema(t)), t,
+            f.raw(t), empty(f.spark, bronze_schema(t)), t,
             F.col("fromdate") if t == "claims_transactions" else AS_OF,
         )
     entries["anti_join_rehash"] = Flow.claims_increment

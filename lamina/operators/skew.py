@@ -21,6 +21,8 @@ SKETCH_ITEMS = 8192
 # A key is hot when it holds at least this many rows and this share of all rows.
 HOT_MIN_ROWS = 1_000_000
 HOT_SHARE = 1 / 500
+# Spreads of a hot key per shuffle partition.
+SPREADS = 8
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -93,7 +95,8 @@ def balanced_join(
     if not hot:
         return left.join(right, on, how)
 
-    fan = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Several spreads per partition even out how they hash.
+    fan = SPREADS * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = _key_hash(on).isin(list(hot))
     left = left.withColumn(
         "_salt",

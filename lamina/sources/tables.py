@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows. The limit lets the optimizer drop joins against it."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 @dataclass(frozen=True)
 class Tables:
     spark: SparkSession
@@ -37,7 +42,7 @@ class Tables:
 
     def read_or_empty(self, layer: str, table: str, schema: StructType) -> DataFrame:
         df = self.find(layer, table)
-        return self.spark.createDataFrame([], schema) if df is None else df
+        return empty(self.spark, schema) if df is None else df
 
     def is_loaded(self, layer: str, table: str) -> bool:
         """True when the table exists and has a row."""
