@@ -88,6 +88,20 @@ class Flow:
             self.dim("patients"), self.dim("payers"),
         )
 
+    def claims_with_payer(self) -> DataFrame:
+        """What the claim answers need of the claim fact: no numbering, no patient."""
+        rows = gold.claim_measures(
+            self.silver("claims"), self.silver("claims_transactions"), self.silver("encounters")
+        )
+        return gold.with_payer_key(rows, self.dim("payers"), "claim_id", self.silver("claims"))
+
+    def admissions(self) -> DataFrame:
+        """What the readmission answers need of the encounter fact: no dimension."""
+        return gold.encounter_measures(
+            self.silver("encounters"), self.silver("conditions"),
+            gold.earliest_active_plan(self.silver("careplans")),
+        )
+
     def gold(self) -> dict[str, DataFrame]:
         return {
             "dim_date": self.dim("date"),
@@ -200,10 +214,12 @@ def _registry() -> dict[str, Callable[[Flow], DataFrame]]:
         "dim_conditions": lambda f: f.dim("conditions"),
         "fact_claims": Flow.fact_claims,
         "fact_encounters": Flow.fact_encounters,
-        "q1_revenue_cycle": lambda f: answers.revenue_cycle(f.fact_claims(), f.dim("payers")),
-        "payer_settlement": lambda f: answers.payer_settlement(f.fact_claims(), f.dim("payers")),
-        "q2_readmission": lambda f: answers.readmission(f.fact_encounters()),
-        "q2_readmission_preview": lambda f: answers.readmission_preview(f.fact_encounters()),
+        "q1_revenue_cycle": lambda f: answers.revenue_cycle(
+            f.claims_with_payer(), f.dim("payers")),
+        "payer_settlement": lambda f: answers.payer_settlement(
+            f.claims_with_payer(), f.dim("payers")),
+        "q2_readmission": lambda f: answers.readmission(f.admissions()),
+        "q2_readmission_preview": lambda f: answers.readmission_preview(f.admissions()),
         "dq_failed": lambda f: answers.failed_checks(f.log()),
         "dq_trend": lambda f: answers.check_trend(f.log()),
         "dq_log": lambda f: f.log(),

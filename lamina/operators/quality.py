@@ -69,10 +69,10 @@ def measure(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     return values.select(F.inline(F.array(*rows)))
 
 
-def log_rows(measured: DataFrame, run_id: str, checked_at: datetime, last_id: int = 0) -> DataFrame:
-    """Shape measured checks for the log; ids continue after `last_id`."""
+def log_rows(measured: DataFrame, run_id: str, checked_at: datetime) -> DataFrame:
+    """Shape measured checks for the log."""
     return measured.select(
-        (F.col("id") + last_id).alias("id"),
+        "id",
         F.lit(run_id).alias("run_id"),
         "table_name", "column_name", "metric_type", "metric_value", "threshold", "status",
         moment(checked_at).alias("checked_at"),

@@ -2,9 +2,9 @@
 
 Spark broadcasts the right side by itself when its size estimate allows it, and
 then no key can overload a task. Beyond that size, the heaviest left keys are
-found with one bounded sketch over the key column, and the rows of those keys
-alone are spread over many join partitions; the few matching right rows are
-repeated once per spread. The result is exact whichever keys are picked.
+counted first, and the rows of those keys alone are spread over many join
+partitions; the few matching right rows are repeated once per spread. The
+result is exact whichever keys are picked.
 """
 
 from __future__ import annotations
@@ -14,13 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# At most this many keys are ever treated as hot, so the list that reaches the
-# driver and the plan has a fixed bound.
-MAX_HOT_KEYS = 64
-SKETCH_ITEMS = 8192
-# A key is hot when it holds at least this many rows and this share of all rows.
-HOT_MIN_ROWS = 1_000_000
+# A key is hot when it holds this share of all rows, and at least this many.
+# So there are never more than 1 / HOT_SHARE hot keys.
 HOT_SHARE = 1 / 500
+HOT_MIN_ROWS = 1_000_000
+# Key hashes are counted in this many buckets first.
+BUCKETS = 4096
 # Spreads of a hot key per shuffle partition.
 SPREADS = 8
 
@@ -32,17 +31,23 @@ def _key_hash(keys: Sequence[str]) -> Column:
 def heavy_hitters(
     df: DataFrame, keys: Sequence[str], min_rows: int = HOT_MIN_ROWS
 ) -> list[int]:
-    """Hashes of the keys that hold a large share of the rows (at most 64).
+    """Hashes of the keys that hold a large share of the rows (at most 500).
 
-    One pass over the key columns only; each task sends one fixed-size sketch.
+    Reads the key columns only. Counting by bucket of the key hash is exact and
+    small whatever the number of keys, and a bucket outweighs every key in it.
+    Without a heavy bucket there is no heavy key, which is the usual end; else
+    the keys of the heavy buckets alone are counted one by one.
     """
-    sketch = F.expr(
-        f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), "
-        f"{MAX_HOT_KEYS}, {SKETCH_ITEMS})"
+    hashed = df.select(_key_hash(keys).alias("key")).withColumn(
+        "bucket", F.pmod("key", F.lit(BUCKETS)).cast("int")
     )
-    row = df.agg(sketch.alias("top"), F.count(F.lit(1)).alias("total")).first()
-    floor = max(min_rows, row.total * HOT_SHARE)
-    return [item["item"] for item in row.top if item["count"] >= floor]
+    buckets = hashed.groupBy("bucket").count().collect()  # at most BUCKETS rows
+    floor = max(min_rows, HOT_SHARE * sum(b["count"] for b in buckets))
+    heavy = [b["bucket"] for b in buckets if b["count"] >= floor]
+    if not heavy:
+        return []
+    counts = hashed.where(F.col("bucket").isin(heavy)).groupBy("key").count()
+    return [k["key"] for k in counts.where(F.col("count") >= floor).collect()]
 
 
 def will_broadcast(df: DataFrame) -> bool:

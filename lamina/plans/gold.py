@@ -152,11 +152,10 @@ def _with_keys(base: DataFrame, natural_key: str, key_name: str) -> DataFrame:
     return dense_keys(base.select(natural_key), natural_key, key_name).join(base, natural_key)
 
 
-def fact_claims(
-    claims: DataFrame, transactions: DataFrame, encounters: DataFrame,
-    dim_patients: DataFrame, dim_payers: DataFrame,
+def claim_measures(
+    claims: DataFrame, transactions: DataFrame, encounters: DataFrame, numbered: bool = False
 ) -> DataFrame:
-    """One row per claim with a service date.
+    """One row per claim with a service date: the claim fact before its dimension keys.
 
     Claim and encounter are linked by patient and day. The same earliest
     encounter supplies class and money, so one lookup serves both.
@@ -170,30 +169,54 @@ def fact_claims(
         "total_outstanding",
     )
     # Claim ids are unique on all sides: plain joins, one partitioning.
-    rows = _with_keys(base, "claim_id", "claim_key").join(
-        transaction_totals(transactions), "claim_id", "left"
+    rows = _with_keys(base, "claim_id", "claim_key") if numbered else base
+    rows = rows.join(transaction_totals(transactions), "claim_id", "left")
+    rows = balanced_join(
+        rows, first_encounter_of_day(encounters), ["patient_id", "service_day"], "left",
+        spread_by=F.col("claim_id"), probe=base,
     )
-    lookups = (
-        (first_encounter_of_day(encounters), ["patient_id", "service_day"]),
-        (dim_patients.select("patient_id", "patient_key"), ["patient_id"]),
-        (dim_payers.select("payer_id", "payer_key"), ["payer_id"]),
+    return rows.withColumns({
+        "encounter_class": F.coalesce("encounter_class", F.lit("unknown")),
+        "total_payments": or_zero("total_payments"),
+        "total_adjustments": or_zero("total_adjustments"),
+    })
+
+
+def with_payer_key(
+    rows: DataFrame, dim_payers: DataFrame, row_id: str, probe: DataFrame | None = None
+) -> DataFrame:
+    return balanced_join(
+        rows, dim_payers.select("payer_id", "payer_key"), ["payer_id"], "left",
+        spread_by=F.col(row_id), probe=probe,
     )
-    for lookup, on in lookups:
-        rows = balanced_join(rows, lookup, on, "left", spread_by=F.col("claim_id"), probe=base)
+
+
+def fact_claims(
+    claims: DataFrame, transactions: DataFrame, encounters: DataFrame,
+    dim_patients: DataFrame, dim_payers: DataFrame,
+) -> DataFrame:
+    """One row per claim with a service date."""
+    probe = claims.where("service_date is not null")
+    rows = claim_measures(claims, transactions, encounters, numbered=True)
+    rows = balanced_join(
+        rows, dim_patients.select("patient_id", "patient_key"), ["patient_id"], "left",
+        spread_by=F.col("claim_id"), probe=probe,
+    )
+    rows = with_payer_key(rows, dim_payers, "claim_id", probe)
     return rows.select(
         "claim_key",
         "claim_id",
         "patient_key",
         "payer_key",
         date_key(F.col("service_day")).alias("service_date_key"),
-        F.coalesce("encounter_class", F.lit("unknown")).alias("encounter_class"),
+        "encounter_class",
         "claim_status",
         "total_claim_cost",
         "payer_coverage",
         "patient_oop",
         "total_outstanding",
-        or_zero("total_payments").alias("total_payments"),
-        or_zero("total_adjustments").alias("total_adjustments"),
+        "total_payments",
+        "total_adjustments",
         "avg_days_to_payment",
     )
 
@@ -226,6 +249,19 @@ def fresh_acute_encounters(encounters: DataFrame) -> DataFrame:
     )
 
 
+def earliest_active_plan(careplans: DataFrame) -> DataFrame:
+    """Per patient: when the first of the still active care plans started.
+
+    A plan is active at an encounter when it started by that day, so the
+    earliest start answers for all plans of the patient.
+    """
+    return (
+        careplans.where("is_active and patient_id is not null")
+        .groupBy("patient_id")
+        .agg(F.min("start_date").alias("plan_start"))
+    )
+
+
 def patient_profile(dim_patients: DataFrame, careplans: DataFrame) -> DataFrame:
     """Per patient: surrogate key and start of the earliest active care plan.
 
@@ -246,11 +282,14 @@ def patient_profile(dim_patients: DataFrame, careplans: DataFrame) -> DataFrame:
     )
 
 
-def fact_encounters(
-    encounters: DataFrame, conditions: DataFrame, careplans: DataFrame,
-    dim_patients: DataFrame, dim_payers: DataFrame,
+def encounter_measures(
+    encounters: DataFrame, conditions: DataFrame, profile: DataFrame, numbered: bool = False
 ) -> DataFrame:
-    """One row per encounter with a start."""
+    """One row per encounter with a start: the encounter fact before its dimension keys.
+
+    `profile` holds one row per patient with `plan_start`, and whatever else is
+    to be looked up by patient.
+    """
     base = encounters.where("start_ts is not null").select(
         F.col("id").alias("encounter_id"),
         "patient_id",
@@ -267,19 +306,30 @@ def fact_encounters(
         .agg(F.count(F.lit(1)).alias("condition_count"))
     )
     # Encounter ids are unique on all sides: plain joins, one partitioning.
-    rows = (
-        _with_keys(base, "encounter_id", "encounter_key")
-        .join(counts, "encounter_id", "left")
-        .join(fresh_acute_encounters(encounters), "encounter_id", "left")
+    rows = _with_keys(base, "encounter_id", "encounter_key") if numbered else base
+    rows = rows.join(counts, "encounter_id", "left")
+    rows = rows.join(fresh_acute_encounters(encounters), "encounter_id", "left")
+    rows = balanced_join(
+        rows, profile, ["patient_id"], "left", spread_by=F.col("encounter_id"), probe=base
     )
-    lookups = (
-        (patient_profile(dim_patients, careplans), ["patient_id"]),
-        (dim_payers.select("payer_id", "payer_key"), ["payer_id"]),
-    )
-    for lookup, on in lookups:
-        rows = balanced_join(rows, lookup, on, "left", spread_by=F.col("encounter_id"), probe=base)
     acute = F.coalesce(F.col("encounter_class").isin(*ACUTE_CLASSES), F.lit(False))
-    return rows.select(
+    planned = F.coalesce(F.col("plan_start") <= F.col("start_day"), F.lit(False))
+    return rows.withColumns({
+        "condition_count": F.coalesce("condition_count", F.lit(0).cast("bigint")),
+        "has_active_careplan": planned,
+        "is_readmission": acute & F.col("is_fresh").isNull(),
+    })
+
+
+def fact_encounters(
+    encounters: DataFrame, conditions: DataFrame, careplans: DataFrame,
+    dim_patients: DataFrame, dim_payers: DataFrame,
+) -> DataFrame:
+    """One row per encounter with a start."""
+    profile = patient_profile(dim_patients, careplans)
+    rows = encounter_measures(encounters, conditions, profile, numbered=True)
+    probe = encounters.where("start_ts is not null")
+    return with_payer_key(rows, dim_payers, "encounter_id", probe).select(
         "encounter_key",
         "encounter_id",
         "patient_key",
@@ -289,9 +339,7 @@ def fact_encounters(
         "duration_minutes",
         "total_claim_cost",
         "patient_oop",
-        F.coalesce("condition_count", F.lit(0).cast("bigint")).alias("condition_count"),
-        F.coalesce(F.col("plan_start") <= F.col("start_day"), F.lit(False)).alias(
-            "has_active_careplan"
-        ),
-        (acute & F.col("is_fresh").isNull()).alias("is_readmission"),
+        "condition_count",
+        "has_active_careplan",
+        "is_readmission",
     )

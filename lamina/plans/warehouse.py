@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +15,13 @@ from pyspark.sql import functions as F
 from lamina.operators import quality
 from lamina.plans import answers, bronze, checks, gold, silver
 from lamina.schemas import BRONZE, DQ_LOG, RAW_LAYOUTS, bronze_schema, raw_schema
-from lamina.sources.csv import path_exists, read_csv
-from lamina.sources.tables import Tables
+from lamina.sources.csv import read_csv
+from lamina.sources.tables import Tables, path_exists
 
 LOG = "dq_log_results"
-GOLD_TABLES = (
-    "dim_date", "dim_patients", "dim_payers", "dim_conditions", "fact_claims", "fact_encounters",
-)
+DIMENSIONS = ("dim_date", "dim_patients", "dim_payers", "dim_conditions")
+FACTS = ("fact_claims", "fact_encounters")
+GOLD_TABLES = DIMENSIONS + FACTS
 
 
 @dataclass(frozen=True)
@@ -62,22 +65,35 @@ class Warehouse:
 
     def load_silver(self, table: str, as_of: datetime, run_id: str) -> int:
         """Refresh one silver table, then log its checks from what was stored."""
-        built = silver.BUILDERS[table](self.tables.read("bronze", table), as_of)
-        rows = self.tables.refresh("silver", table, built)
-        self.log_checks(table, as_of, run_id)
+        rows = self.refresh_silver(table, as_of)
+        self.log_checks([table], as_of, run_id)
         return rows
 
-    def log_checks(self, table: str, as_of: datetime, run_id: str) -> None:
-        measured = quality.measure(
-            self.tables.read("silver", table), f"silver_{table}", silver.CHECKS[table]
-        )
+    def refresh_silver(self, table: str, as_of: datetime) -> int:
+        built = silver.BUILDERS[table](self.tables.read("bronze", table), as_of)
+        return self.tables.refresh("silver", table, built)
+
+    def log_checks(self, names: Iterable[str], as_of: datetime, run_id: str) -> None:
+        """Measure stored silver tables, each in one scan, and add the rows to the log."""
         log = self.tables.read_or_empty("metadata", LOG, DQ_LOG)
         last_id = log.agg(F.max("id")).first()[0] or 0
-        entries = quality.log_rows(measured, run_id, as_of, last_id).collect()  # <= 6 rows
-        stored = self.tables.spark.createDataFrame(entries, DQ_LOG).coalesce(1)
-        self.tables.append("metadata", LOG, stored)
-        passed = sum(e.status == "PASSED" for e in entries)
-        self.tables.report(f"  checks [silver_{table}]: {passed}/{len(entries)} passed")
+        measured = reduce(DataFrame.unionByName, [
+            quality.measure(self.tables.read("silver", t), f"silver_{t}", silver.CHECKS[t])
+            for t in names
+        ])
+        entries = [  # a handful of rows: one per check
+            e.asDict() | {"id": last_id + i + 1}
+            for i, e in enumerate(quality.log_rows(measured, run_id, as_of).collect())
+        ]
+        stored = self.tables.spark.createDataFrame(
+            [tuple(e[c] for c in DQ_LOG.names) for e in entries], DQ_LOG
+        )
+        self.tables.append("metadata", LOG, stored.coalesce(1))
+        for table, rows in groupby(entries, key=lambda e: e["table_name"]):
+            status = [e["status"] for e in rows]
+            self.tables.report(
+                f"  checks [{table}]: {status.count('PASSED')}/{len(status)} passed"
+            )
 
     # --- gold ---
 
@@ -116,17 +132,28 @@ class Warehouse:
     # --- all ---
 
     def build(
-        self, raw: Mapping[str, DataFrame] | None, as_of: datetime, run_id: str | None = None
+        self, raw: Mapping[str, DataFrame] | None, as_of: datetime, run_id: str | None = None,
+        at_once: int = 4,
     ) -> str:
-        """Run every step. `raw` defaults to the stored raw layer. Returns the run id."""
+        """Run every step. `raw` defaults to the stored raw layer. Returns the run id.
+
+        Tables of a layer do not depend on each other, so up to `at_once` of
+        them are submitted together and share the executors.
+        """
         run_id = run_id or quality.new_run_id("silver")
-        for table in BRONZE:
-            source = raw[table] if raw is not None else self.tables.read("raw", table)
-            self.load_bronze(table, source, as_of)
-        for table in BRONZE:
-            self.load_silver(table, as_of, run_id)
-        for table in GOLD_TABLES:
-            self.load_gold(table, as_of)
+
+        def source(table: str) -> DataFrame:
+            return raw[table] if raw is not None else self.tables.read("raw", table)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            def each(load: Callable[[str], int], names: Iterable[str]) -> None:
+                list(pool.map(load, names))  # waits, and raises what a load raised
+
+            each(lambda t: self.load_bronze(t, source(t), as_of), BRONZE)
+            each(lambda t: self.refresh_silver(t, as_of), BRONZE)
+            self.log_checks(BRONZE, as_of, run_id)
+            each(lambda t: self.load_gold(t, as_of), DIMENSIONS)
+            each(lambda t: self.load_gold(t, as_of), FACTS)
         return run_id
 
     # --- answers and checks ---

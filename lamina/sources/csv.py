@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,16 +12,6 @@ from lamina.schemas import RawColumn, raw_columns
 _QUOTED_EMPTY = "\u0001empty\u0001"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-
-
 def spans_lines(spark: SparkSession, path: str) -> bool:
     """True when some quoted field contains a line break.
 

@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Look a path up in whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows. The limit lets the optimizer drop joins against it."""
     return spark.createDataFrame([], schema).limit(0)
@@ -26,13 +31,9 @@ class Tables:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def find(self, layer: str, table: str) -> DataFrame | None:
-        """The table, or None when it was never written."""
-        try:
-            return self.spark.read.parquet(self.path(layer, table))
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+        """The table, or None when it was never written completely."""
+        path = self.path(layer, table)
+        return self.spark.read.parquet(path) if path_exists(self.spark, f"{path}/_SUCCESS") else None
 
     def read(self, layer: str, table: str) -> DataFrame:
         df = self.find(layer, table)

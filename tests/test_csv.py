@@ -4,7 +4,8 @@ from decimal import Decimal
 import pytest
 
 from lamina.schemas import RAW_LAYOUTS, RAW_PRIMARY_KEYS, RAW_REFERENCES, raw_columns, raw_schema
-from lamina.sources.csv import path_exists, read_csv, spans_lines
+from lamina.sources.csv import read_csv, spans_lines
+from lamina.sources.tables import path_exists
 
 
 @pytest.fixture

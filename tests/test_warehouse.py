@@ -78,8 +78,7 @@ def test_log_grows_by_29_rows_a_run(built):
     log = house.tables.read("metadata", LOG)
     ids = sorted(r.id for r in log.select("id").collect())
     assert ids == list(range(1, len(ids) + 1)) and len(ids) % 29 == 0
-    for table in BRONZE:
-        house.log_checks(table, AS_OF + timedelta(days=1), "run-2")
+    house.log_checks(BRONZE, AS_OF + timedelta(days=1), "run-2")
     log = house.tables.read("metadata", LOG)
     assert log.count() == len(ids) + sum(len(c) for c in silver.CHECKS.values())
     assert log.where("run_id = 'run-2'").count() == 29
@@ -118,6 +117,16 @@ def test_one_changed_claim_makes_one_new_version(built, spark):
     assert [r.claim_status for r in row] == ["OPEN"]
 
 
+def test_empty_sources(spark, tmp_path, built):
+    house = Warehouse(Tables(spark, str(tmp_path), lambda line: None))
+    house.build({t: df.limit(0) for t, df in built[1].items()}, AS_OF, "empty")
+    assert all(house.tables.read("gold", t).count() == 0 for t in GOLD_TABLES)
+    log = house.tables.read("metadata", LOG).collect()
+    assert len(log) == 29 and {(r.metric_value, r.status) for r in log} == {(0.0, "FAILED")}
+    # A later run with data starts from these empty tables.
+    assert house.load_bronze("payers", built[1]["payers"], AS_OF) > 0
+
+
 def test_csv_folder_loads_once_and_skips_missing_files(spark, tmp_path):
     folder, lines = tmp_path / "in", []
     folder.mkdir()
