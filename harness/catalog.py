@@ -108,8 +108,9 @@ class Flow:
             "dim_patients": self.dim("patients"),
             "dim_payers": self.dim("payers"),
             "dim_conditions": self.dim("conditions"),
-            "fact_claims": self.fact_claims(),
-            "fact_encounters": self.fact_encounters(),
+            # Read by several checks each, so computed once.
+            "fact_claims": self.fact_claims().checkpoint(),
+            "fact_encounters": self.fact_encounters().checkpoint(),
         }
 
     def all_of(self, make: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
@@ -186,8 +187,7 @@ def _orphans(flow: Flow) -> DataFrame:
 
 
 def _gold_checks(flow: Flow) -> DataFrame:
-    frames = flow.gold()
-    return checks.gold_references(frames).unionByName(checks.gold_flags(frames))
+    return checks.gold_layer(flow.gold())
 
 
 def _registry() -> dict[str, Callable[[Flow], DataFrame]]:

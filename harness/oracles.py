@@ -11,7 +11,7 @@ import re
 
 from harness.adapters import REFERENCES, source_sql
 from harness.catalog import AS_OF, DAY_BEFORE, RUN_ID
-from lamina.plans.checks import GOLD_FLAGS, GOLD_REFERENCES, PASS_RATE
+from lamina.plans.checks import GOLD_FLAGS, GOLD_NATURAL_KEYS, GOLD_REFERENCES, PASS_RATE
 from lamina.plans.gold import CHRONIC_WORDS
 from lamina.schemas import BRONZE, RAW_LAYOUTS, raw_columns
 
@@ -357,6 +357,9 @@ def _gold_checks() -> str:
             f"{column} not in (select {key} from {names[dim]}))"
         )
         parts.append(_check(f"{column} resolves", fact, lost, f"{lost} = 0", names[fact]))
+    for table, key in GOLD_NATURAL_KEYS:
+        surplus = f"count(*) - count(distinct {key})"
+        parts.append(_check(f"{key} unique", table, surplus, f"{surplus} = 0", names[table]))
     for table, column in GOLD_FLAGS:
         unset = f"count(*) filter (where {column} is null)"
         parts.append(_check(f"{column} set", table, unset, f"{unset} = 0", names[table]))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.operators.integrity import orphan_summary
+from lamina.operators.integrity import duplicate_summary, orphan_summary
 from lamina.operators.quality import passed_rows
 
 # References from facts to dimensions.
@@ -20,6 +20,12 @@ GOLD_REFERENCES = (
     ("fact_encounters", "payer_key", "dim_payers", "payer_key"),
     ("fact_encounters", "date_key", "dim_date", "date_key"),
 )
+GOLD_NATURAL_KEYS = (
+    ("dim_date", "date_key"),
+    ("dim_patients", "patient_id"),
+    ("dim_payers", "payer_id"),
+    ("dim_conditions", "code"),
+)
 GOLD_FLAGS = (
     ("fact_encounters", "has_active_careplan"),
     ("fact_encounters", "is_readmission"),
@@ -97,3 +103,17 @@ def gold_flags(gold: Mapping[str, DataFrame]) -> DataFrame:
         missing = F.count_if(F.col(column).isNull())
         frames.append(gold[table].agg(*_row(f"{column} set", table, missing, missing == 0)))
     return _union(frames)
+
+
+def gold_keys(gold: Mapping[str, DataFrame]) -> DataFrame:
+    """Every natural key occurs once in its dimension."""
+    return _union([
+        duplicate_summary(gold[table], table, [key]).select(
+            *_row(f"{key} unique", table, F.col("surplus_rows"), F.col("surplus_rows") == 0)
+        )
+        for table, key in GOLD_NATURAL_KEYS
+    ])
+
+
+def gold_layer(gold: Mapping[str, DataFrame]) -> DataFrame:
+    return _union([gold_references(gold), gold_keys(gold), gold_flags(gold)])

@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.operators import quality
+from lamina.operators.integrity import duplicate_summary, orphan_summary
 from lamina.plans import answers, bronze, checks, gold, silver
-from lamina.schemas import BRONZE, DQ_LOG, RAW_LAYOUTS, bronze_schema, raw_schema
+from lamina.schemas import (
+    BRONZE, DQ_LOG, RAW_LAYOUTS, RAW_PRIMARY_KEYS, RAW_REFERENCES, bronze_schema, raw_schema,
+)
 from lamina.sources.csv import read_csv
 from lamina.sources.tables import Tables, path_exists
 
@@ -189,17 +192,31 @@ class Warehouse:
                 whole = whole.unionByName(part)
             return whole
         if layer == "raw":
-            return checks.populated(
-                {t: self.tables.read_or_empty("raw", t, raw_schema(t)) for t in RAW_LAYOUTS}
-            )
+            return checks.populated({t: self._raw(t) for t in RAW_LAYOUTS})
         if layer == "dq":
             return checks.log_status(self.tables.read("metadata", LOG))
         if layer == "gold":
-            frames = {t: self.tables.read("gold", t) for t in GOLD_TABLES}
-            return checks.gold_references(frames).unionByName(checks.gold_flags(frames))
+            return checks.gold_layer({t: self.tables.read("gold", t) for t in GOLD_TABLES})
         frames = {t: self.tables.read(layer, t) for t in BRONZE}
         if layer == "bronze":
             return checks.populated(frames).unionByName(checks.unique_hashes(frames))
         if layer == "silver":
             return checks.pass_rates(frames)
         raise LookupError(f"no layer {layer}")
+
+    def raw_duplicates(self) -> DataFrame:
+        """Primary keys of the raw layer that repeat, one row per loaded table."""
+        return reduce(DataFrame.unionByName, [
+            duplicate_summary(self._raw(t), t, ["id"]) for t in RAW_PRIMARY_KEYS
+        ])
+
+    def raw_orphans(self) -> DataFrame:
+        """References of the raw layer that point nowhere, one row per reference."""
+        return reduce(DataFrame.unionByName, [
+            orphan_summary(self._raw(child), child, column, self._raw(parent), parent)
+            for child, references in RAW_REFERENCES.items()
+            for column, parent in references.items()
+        ])
+
+    def _raw(self, table: str) -> DataFrame:
+        return self.tables.read_or_empty("raw", table, raw_schema(table))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.schemas import RawColumn, raw_columns
@@ -10,17 +12,87 @@ from lamina.schemas import RawColumn, raw_columns
 # Stands for a quoted empty field while reading, so that it stays an empty
 # text, while an unquoted empty field is NULL.
 _QUOTED_EMPTY = "\u0001empty\u0001"
+_OPTIONS = {"escape": '"', "emptyValue": _QUOTED_EMPTY, "mode": "FAILFAST"}
+
+
+def _quotes() -> Column:
+    return F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
 
 
 def spans_lines(spark: SparkSession, path: str) -> bool:
     """True when some quoted field contains a line break.
 
-    Exactly then some line has an odd number of quote characters. The test is
-    a parallel text scan, and lets plain files be split into many tasks; only
-    files that need it are parsed whole.
+    Exactly then some line has an odd number of quote characters. The test is a
+    parallel text scan.
+    """
+    return not spark.read.text(path).where(_quotes() % 2 == 1).limit(1).isEmpty()
+
+
+def _plain(spark: SparkSession, path: str) -> DataFrame:
+    """Every record is a line: Spark's reader, which splits files into many tasks.
+
+    All columns are parsed, also unused ones, so that a record of the wrong
+    length is always noticed.
+    """
+    strict = {"header": True, "enforceSchema": False, "columnPruning": False}
+    return spark.read.options(**strict, **_OPTIONS).csv(path)
+
+
+def _multiline(spark: SparkSession, path: str) -> DataFrame:
+    """For files with line breaks inside quotes; read in blocks by many tasks as well.
+
+    A line starts a record when an even number of quotes precedes it in its
+    file. Quotes are counted within each block, and over the blocks of a file.
+    Lines are then gathered under the line that started their record, which may
+    lie in an earlier block.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+        _quotes().alias("quotes"),
+    )
+    header = F.rtrim("value", F.lit("\r"))
+    expected = lines.where("block = 0").select(header.alias("text")).first().text
+    names = next(csv.reader([expected]))
+
+    # A block is bounded by the split size, and a file has few blocks.
+    in_block = Window.partitionBy("file", "block").orderBy("place")
+    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+
+    # Per block, for both cases of what precedes it: where its last record starts.
+    earlier_blocks = (
+        Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    blocks = (
+        lines.groupBy("file", "block")
+        .agg(
+            F.sum("quotes").alias("quotes"),
+            F.max(F.when(F.col("odd") == 0, F.col("place"))).alias("if_even"),
+            F.max(F.when(F.col("odd") == 1, F.col("place"))).alias("if_odd"),
+        )
+        .withColumn("entry", F.coalesce(F.sum("quotes").over(earlier_blocks), F.lit(0)) % 2)
+        .withColumn("last", F.when(F.col("entry") == 0, F.col("if_even")).otherwise(F.col("if_odd")))
+        .select("file", "block", "entry",
+                F.last("last", ignorenulls=True).over(earlier_blocks).alias("carried"))
+    )
+    start = F.when(F.col("odd") == F.col("entry"), F.col("place"))
+    is_header = (F.col("block") == 0) & (F.row_number().over(in_block) == 1)
+    mixed = F.raise_error(F.concat(F.lit("files have different headers: "), F.col("file")))
+    records = (
+        lines.withColumn("is_header", is_header)
+        .join(blocks, ["file", "block"])
+        .withColumn("record", F.coalesce(F.last(start, ignorenulls=True).over(in_block), "carried"))
+        .where(F.when(F.col("is_header") & (header != expected), mixed).otherwise(~F.col("is_header")))
+        .groupBy("file", "record")
+        .agg(F.sort_array(F.collect_list(F.struct("block", "place", "value"))).alias("parts"))
+        .select(F.rtrim(F.array_join("parts.value", "\n"), F.lit("\r")).alias("text"))
+        .where("text <> ''")
+    )
+    layout = ", ".join(f"`{n}` string" for n in names)
+    return records.select(F.from_csv("text", layout, _OPTIONS).alias("row")).select("row.*")
 
 
 def _typed(table: str, column: RawColumn, present: bool) -> Column:
@@ -45,15 +117,7 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     layout; missing ones are NULL. An unknown column, a value that does not fit
     its type, or files with different headers are errors.
     """
-    text = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("emptyValue", _QUOTED_EMPTY)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .option("multiLine", spans_lines(spark, path))
-        .csv(path)
-    )
+    text = _multiline(spark, path) if spans_lines(spark, path) else _plain(spark, path)
     columns = raw_columns(table)
     unknown = set(text.columns) - {c.name for c in columns}
     if unknown:

@@ -49,7 +49,51 @@ def test_line_breaks_inside_quotes(spark, csv):
     broken = csv('name,city\n"one\ntwo",b\nc,d\n', "broken.csv")
     assert not spans_lines(spark, plain) and spans_lines(spark, broken)
     rows = read_csv(spark, broken, "organizations").select("name", "city").collect()
-    assert [tuple(r) for r in rows] == [("one\ntwo", "b"), ("c", "d")]
+    assert sorted(map(tuple, rows)) == [("c", "d"), ("one\ntwo", "b")]
+
+
+def test_line_breaks_across_many_splits(spark, tmp_path):
+    """Records that cross the borders of read blocks, in several files, any line end."""
+    import random
+
+    rnd, expected = random.Random(5), []
+    folder = tmp_path / "organizations.csv"
+    folder.mkdir()
+    for part in range(3):
+        end = "\r\n" if part == 1 else "\n"
+        text = "name,city,zip" + end
+        for i in range(120):
+            name = "".join(rnd.choice(["a", "é", ",", '"', "\n", "\r\n", " "]) for _ in range(rnd.randrange(1, 90)))
+            city = rnd.choice([None, "", "plain"])
+            expected.append((name, city, f"{part}-{i}"))
+            quoted = name.replace('"', '""')
+            text += f'"{quoted}",{"" if city is None else chr(34) * 2 if city == "" else city},{part}-{i}{end}'
+        (folder / f"{part}.csv").write_bytes(text.encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spans_lines(spark, str(folder))
+        df = read_csv(spark, str(folder), "organizations").select("name", "city", "zip")
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20
+        assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, expected))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_multiline_files_with_other_headers_are_not_mixed(spark, tmp_path):
+    folder = tmp_path / "organizations.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text('name,city\n"n\nn",c\n')
+    (folder / "b.csv").write_text("city,name\nc,n\n")
+    with pytest.raises(Exception, match="different headers"):
+        read_csv(spark, str(folder), "organizations").collect()
+
+
+@pytest.mark.parametrize("rest", ["a,b,c\n", '"x\ny",b,c\n', '"x\ny"\n', "a\n"])
+def test_records_of_the_wrong_length_are_errors(spark, csv, rest):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, csv("name,city\n" + rest), "organizations").select("name").collect()
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

@@ -140,6 +140,9 @@ def test_csv_folder_loads_once_and_skips_missing_files(spark, tmp_path):
     (folder / "patients.csv").write_text("id,birthdate,ssn\nA,2000-01-01,1\n")
     assert house.load_csv_folder(str(folder)) == {"payers": 10, "patients": 1}
     assert house.load_csv_folder(str(folder)) == {}
+    assert {r.table_name for r in house.raw_duplicates().collect()} >= {"payers", "claims"}
+    orphans = house.raw_orphans().collect()
+    assert len(orphans) == 40 and all(r.orphan_rows == 0 for r in orphans)
     # Nine of ten owners are known: exactly the threshold, which passes.
     house.load_bronze("payers", house.tables.read("raw", "payers"), AS_OF)
     house.load_silver("payers", AS_OF, "r")
