@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.operators.skew import HOT_MIN_ROWS, balanced_join, heavy_hitters, will_broadcast
+from lamina.operators.skew import balanced_join, heavy_hitters, will_broadcast
 
 
 def new_rows(
@@ -15,7 +15,7 @@ def new_rows(
     existing: DataFrame,
     record_key: Sequence[str],
     dedup_within_batch: bool = False,
-    min_rows: int = HOT_MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Rows of `staged` whose `_row_hash` is not in `existing`.
 

@@ -29,7 +29,7 @@ def _key_hash(keys: Sequence[str]) -> Column:
 
 
 def heavy_hitters(
-    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_MIN_ROWS
+    df: DataFrame, keys: Sequence[str], min_rows: int | None = None
 ) -> list[int]:
     """Hashes of the keys that hold a large share of the rows (at most 500).
 
@@ -42,7 +42,8 @@ def heavy_hitters(
         "bucket", F.pmod("key", F.lit(BUCKETS)).cast("int")
     )
     buckets = hashed.groupBy("bucket").count().collect()  # at most BUCKETS rows
-    floor = max(min_rows, HOT_SHARE * sum(b["count"] for b in buckets))
+    least = HOT_MIN_ROWS if min_rows is None else min_rows
+    floor = max(least, HOT_SHARE * sum(b["count"] for b in buckets))
     heavy = [b["bucket"] for b in buckets if b["count"] >= floor]
     if not heavy:
         return []
@@ -79,7 +80,7 @@ def balanced_join(
     spread_by: Column,
     probe: DataFrame | None = None,
     hot: Sequence[int] | None = None,
-    min_rows: int = HOT_MIN_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """`left` / `left_anti` / `left_semi` join with a right side unique on `on`.
 

@@ -66,6 +66,7 @@ def _multiline(spark: SparkSession, path: str) -> DataFrame:
     earlier_blocks = (
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
+    unclosed = F.raise_error(F.concat(F.lit("unterminated quoted field in "), F.col("file")))
     blocks = (
         lines.groupBy("file", "block")
         .agg(
@@ -74,6 +75,8 @@ def _multiline(spark: SparkSession, path: str) -> DataFrame:
             F.max(F.when(F.col("odd") == 1, F.col("place"))).alias("if_odd"),
         )
         .withColumn("entry", F.coalesce(F.sum("quotes").over(earlier_blocks), F.lit(0)) % 2)
+        .withColumn("in_file", F.sum("quotes").over(Window.partitionBy("file")))
+        .where(F.when(F.col("in_file") % 2 == 1, unclosed).otherwise(F.lit(True)))
         .withColumn("last", F.when(F.col("entry") == 0, F.col("if_even")).otherwise(F.col("if_odd")))
         .select("file", "block", "entry",
                 F.last("last", ignorenulls=True).over(earlier_blocks).alias("carried"))

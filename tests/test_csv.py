@@ -90,6 +90,12 @@ def test_multiline_files_with_other_headers_are_not_mixed(spark, tmp_path):
         read_csv(spark, str(folder), "organizations").collect()
 
 
+def test_unterminated_quote_is_an_error(spark, csv):
+    path = csv('name,city\na,b\n"never closed,c\nd,e\n')
+    with pytest.raises(Exception, match="unterminated quoted field"):
+        read_csv(spark, path, "organizations").collect()
+
+
 @pytest.mark.parametrize("rest", ["a,b,c\n", '"x\ny",b,c\n', '"x\ny"\n', "a\n"])
 def test_records_of_the_wrong_length_are_errors(spark, csv, rest):
     with pytest.raises(Exception, match="(?i)malformed"):
