@@ -159,6 +159,14 @@ class Warehouse:
             each(lambda t: self.load_gold(t, as_of), FACTS)
         return run_id
 
+    def publish(self) -> list[str]:
+        """Register every stored table for `spark.sql`. Returns their SQL names."""
+        layers = {
+            "raw": RAW_LAYOUTS, "bronze": BRONZE, "silver": BRONZE, "gold": GOLD_TABLES,
+            "metadata": (LOG,),
+        }
+        return [n for layer, names in layers.items() for n in self.tables.publish(layer, names)]
+
     # --- answers and checks ---
 
     def revenue_cycle(self) -> DataFrame:

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# The SQL namespace of each layer.
+NAMESPACES = {
+    "raw": "hospital_op",
+    "bronze": "dw_bronze",
+    "silver": "dw_silver",
+    "gold": "dw_gold",
+    "metadata": "metadata",
+}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Look a path up in whatever file system it names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -31,9 +42,16 @@ class Tables:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def find(self, layer: str, table: str) -> DataFrame | None:
-        """The table, or None when it was never written completely."""
+        """The table, or None when it was never written."""
         path = self.path(layer, table)
-        return self.spark.read.parquet(path) if path_exists(self.spark, f"{path}/_SUCCESS") else None
+        if not path_exists(self.spark, path):
+            return None
+        try:
+            return self.spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a first write that failed
+                return None
+            raise
 
     def read(self, layer: str, table: str) -> DataFrame:
         df = self.find(layer, table)
@@ -70,3 +88,24 @@ class Tables:
         rows = seen.get["rows"]
         self.report(f"  {layer}.{table}: {rows} rows")
         return rows
+
+    def publish(self, layer: str, tables: Iterable[str]) -> list[str]:
+        """Make stored tables known to SQL, as <namespace>.<table>.
+
+        The catalog only points at the files. Publish again after a refresh.
+        """
+        namespace, published = NAMESPACES[layer], []
+        self.spark.sql(
+            f"create database if not exists {namespace} "
+            f"location '{self.root.rstrip('/')}/{layer}'"
+        )
+        for table in tables:
+            if self.find(layer, table) is None:
+                continue
+            name = f"{namespace}.{table}"
+            self.spark.sql(f"drop table if exists {name}")  # external: files stay
+            self.spark.sql(
+                f"create table {name} using parquet location '{self.path(layer, table)}'"
+            )
+            published.append(name)
+        return published
