@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators.append import new_rows
+from lamina.operators import append
 from lamina.operators.skew import heavy_hitters
 from lamina.plans import bronze
 from tests.test_silver import RAW
@@ -36,19 +36,36 @@ def test_lineage_and_column_choice(rows):
     assert (row["_ingested_at"], row["_source_file"]) == (AS_OF, "conditions.csv")
 
 
-@pytest.mark.parametrize("seen", [True, False])
-def test_hot_copies_are_spread_and_stay_whole(spark, no_broadcast, seen):
-    """A third of the batch is one row copied; all copies load, or none."""
-    raw = spark.range(3000).select(
+def _copied(spark):
+    """A third of the rows is one row copied."""
+    return spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("patient"),
         *[F.lit("x").alias(c) for c in ("encounter", "code", "description")],
         *[F.lit(None).cast("date").alias(c) for c in ("start", "stop")],
     )
-    staged = bronze.stage(raw, "conditions", AS_OF)
+
+
+@pytest.mark.parametrize("seen", [True, False])
+@pytest.mark.parametrize("few", [True, False])
+def test_copies_against_a_large_target_stay_whole(spark, no_broadcast, monkeypatch, seen, few):
+    """All copies load, or none, whether unseen hashes are broadcast or not."""
+    monkeypatch.setattr(append, "BROADCAST_HASHES", 10_000 if few else 0)
+    staged = bronze.stage(_copied(spark), "conditions", AS_OF)
     assert len(heavy_hitters(staged, ["_row_hash"], min_rows=100)) == 1
     known = staged.where("patient = 'hot'" if seen else "patient in ('1', '2')")
-    new = new_rows(staged, known, ["patient", "encounter", "code"], min_rows=100)
+    key = ["patient", "encounter", "code"]
+    new = append.new_rows(staged, known, key, min_rows=100)
     plan = new._jdf.queryExecution().toString()
-    assert "_salt" in plan
+    assert ("_salt" in plan) is not few
     assert new.count() == (2000 if seen else 2998)
     assert new.columns == staged.columns
+    once = append.new_rows(staged, known, key, dedup_within_batch=True, min_rows=100)
+    assert once.count() == (2000 if seen else 1999)
+
+
+def test_wide_rows_are_not_shuffled_when_little_is_new(spark, no_broadcast):
+    staged = bronze.stage(_copied(spark), "conditions", AS_OF)
+    new = append.new_rows(staged, staged.where("patient <> '7'"), ["patient", "encounter", "code"])
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert [r.patient for r in new.collect()] == ["7"]
