@@ -29,9 +29,11 @@ def stage(raw: DataFrame, table: str, ingested_at: datetime | Column) -> DataFra
 
 
 def increment(
-    raw: DataFrame, existing: DataFrame, table: str, ingested_at: datetime | Column,
+    raw: DataFrame, existing: DataFrame | None, table: str, ingested_at: datetime | Column,
     dedup_within_batch: bool = False,
 ) -> DataFrame:
-    """Rows to append to a bronze table that already holds `existing`."""
+    """Rows to append to a bronze table that already holds `existing` (None: nothing yet)."""
     staged = stage(raw, table, ingested_at)
+    if existing is None:
+        return staged.dropDuplicates(["_row_hash"]) if dedup_within_batch else staged
     return new_rows(staged, existing, BRONZE[table].record_key, dedup_within_batch)

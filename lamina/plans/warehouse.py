@@ -16,7 +16,7 @@ from lamina.operators import quality
 from lamina.operators.integrity import duplicate_summary, orphan_summary
 from lamina.plans import answers, bronze, checks, gold, silver
 from lamina.schemas import (
-    BRONZE, DQ_LOG, RAW_LAYOUTS, RAW_PRIMARY_KEYS, RAW_REFERENCES, bronze_schema, raw_schema,
+    BRONZE, DQ_LOG, RAW_LAYOUTS, RAW_PRIMARY_KEYS, RAW_REFERENCES, raw_schema,
 )
 from lamina.sources.csv import read_csv
 from lamina.sources.tables import Tables, path_exists
@@ -59,7 +59,7 @@ class Warehouse:
     # --- bronze ---
 
     def load_bronze(self, table: str, raw: DataFrame, as_of: datetime) -> int:
-        existing = self.tables.read_or_empty("bronze", table, bronze_schema(table))
+        existing = self.tables.find("bronze", table)
         return self.tables.append(
             "bronze", table, bronze.increment(raw, existing, table, as_of)
         )

@@ -25,6 +25,8 @@ def test_copies_in_one_batch_all_load_and_reload_adds_none(rows):
     empty = bronze.stage(raw.limit(0), "conditions", AS_OF)
     loaded = bronze.increment(raw, empty, "conditions", AS_OF)
     assert loaded.count() == 2
+    assert bronze.increment(raw, None, "conditions", AS_OF).count() == 2
+    assert bronze.increment(raw, None, "conditions", AS_OF, dedup_within_batch=True).count() == 1
     assert bronze.increment(raw, loaded, "conditions", AS_OF).count() == 0
     assert bronze.increment(raw, empty, "conditions", AS_OF, dedup_within_batch=True).count() == 1
 
