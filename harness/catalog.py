@@ -90,10 +90,10 @@ class Flow:
 
     def claims_with_payer(self) -> DataFrame:
         """What the claim answers need of the claim fact: no numbering, no patient."""
-        rows = gold.claim_measures(
-            self.silver("claims"), self.silver("claims_transactions"), self.silver("encounters")
+        return gold.claim_measures(
+            self.silver("claims"), self.silver("claims_transactions"), self.silver("encounters"),
+            [gold.payer_lookup(self.dim("payers"))],
         )
-        return gold.with_payer_key(rows, self.dim("payers"), "claim_id", self.silver("claims"))
 
     def admissions(self) -> DataFrame:
         """What the readmission answers need of the encounter fact: no dimension."""

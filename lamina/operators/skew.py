@@ -31,24 +31,37 @@ def _key_hash(keys: Sequence[str]) -> Column:
 def heavy_hitters(
     df: DataFrame, keys: Sequence[str], min_rows: int | None = None
 ) -> list[int]:
-    """Hashes of the keys that hold a large share of the rows (at most 500).
+    """Hashes of the keys that hold a large share of the rows (at most 500)."""
+    return heavy_hitters_of(df, [keys], min_rows)[0]
 
-    Reads the key columns only. Counting by bucket of the key hash is exact and
-    small whatever the number of keys, and a bucket outweighs every key in it.
-    Without a heavy bucket there is no heavy key, which is the usual end; else
-    the keys of the heavy buckets alone are counted one by one.
+
+def heavy_hitters_of(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], min_rows: int | None = None
+) -> list[list[int]]:
+    """The same for several keys of one frame, in one pass over their columns.
+
+    Counting by bucket of the key hash is exact and small whatever the number
+    of keys, and a bucket outweighs every key in it. Without a heavy bucket
+    there is no heavy key, which is the usual end; else the keys of the heavy
+    buckets alone are counted one by one.
     """
-    hashed = df.select(_key_hash(keys).alias("key")).withColumn(
-        "bucket", F.pmod("key", F.lit(BUCKETS)).cast("int")
-    )
-    buckets = hashed.groupBy("bucket").count().collect()  # at most BUCKETS rows
-    least = HOT_MIN_ROWS if min_rows is None else min_rows
-    floor = max(least, HOT_SHARE * sum(b["count"] for b in buckets))
-    heavy = [b["bucket"] for b in buckets if b["count"] >= floor]
-    if not heavy:
-        return []
-    counts = hashed.where(F.col("bucket").isin(heavy)).groupBy("key").count()
-    return [k["key"] for k in counts.where(F.col("count") >= floor).collect()]
+    hashed = df.select(F.posexplode(F.array(*[_key_hash(k) for k in key_sets])).alias("set", "key"))
+    hashed = hashed.withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int"))
+    # At most BUCKETS rows for each key set.
+    buckets = hashed.groupBy("set", "bucket").count().collect()
+    total = sum(b["count"] for b in buckets if b["set"] == 0)
+    floor = max(HOT_MIN_ROWS if min_rows is None else min_rows, HOT_SHARE * total)
+    hot: list[list[int]] = [[] for _ in key_sets]
+    heavy = {i: [b["bucket"] for b in buckets if b["set"] == i and b["count"] >= floor]
+             for i in range(len(key_sets))}
+    if any(heavy.values()):
+        suspect = F.lit(False)
+        for i, found in heavy.items():
+            suspect = suspect | ((F.col("set") == i) & F.col("bucket").isin(found))
+        counts = hashed.where(suspect).groupBy("set", "key").count().where(F.col("count") >= floor)
+        for row in counts.collect():  # at most 1 / HOT_SHARE rows for each key set
+            hot[row["set"]].append(row["key"])
+    return hot
 
 
 def will_broadcast(df: DataFrame) -> bool:
@@ -78,14 +91,12 @@ def balanced_join(
     on: Sequence[str],
     how: str,
     spread_by: Column,
-    probe: DataFrame | None = None,
     hot: Sequence[int] | None = None,
     min_rows: int | None = None,
 ) -> DataFrame:
     """`left` / `left_anti` / `left_semi` join with a right side unique on `on`.
 
-    `probe` is where hot keys are looked for, when the left side is costly to
-    compute and an earlier frame has the same key columns; `hot` gives them.
+    `hot` gives the hashes of the hot keys when they are known already.
     `spread_by` scatters the rows of a hot key. It must give a row the same
     value when a lost task is run again, so it may not be random.
     NULL keys never match; when there are many of them they count as a hot key
@@ -97,7 +108,7 @@ def balanced_join(
     if will_broadcast(right):
         return left.join(right, on, how)
     if hot is None:
-        hot = heavy_hitters(left if probe is None else probe, on, min_rows)
+        hot = heavy_hitters(left, on, min_rows)
     if not hot:
         return left.join(right, on, how)
 
@@ -115,3 +126,24 @@ def balanced_join(
         ),
     )
     return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def balanced_lookups(
+    left: DataFrame,
+    lookups: Sequence[tuple[DataFrame, Sequence[str]]],
+    spread_by: Column,
+    probe: DataFrame,
+    min_rows: int | None = None,
+) -> DataFrame:
+    """Left-join several (table, key) pairs, each table unique on its key.
+
+    Hot keys are looked for in `probe`, a frame with the same key columns that
+    costs less to compute than `left`: once for all lookups, and only for those
+    that are too large to broadcast.
+    """
+    large = [i for i, (table, _) in enumerate(lookups) if not will_broadcast(table)]
+    found = heavy_hitters_of(probe, [lookups[i][1] for i in large], min_rows) if large else []
+    hot = dict(zip(large, found))
+    for i, (table, on) in enumerate(lookups):
+        left = balanced_join(left, table, on, "left", spread_by, hot=hot.get(i, []))
+    return left

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import Window
 
 from lamina.functions.columns import date_key, exact_ratio, money, or_zero, padded_name
 from lamina.operators.latest import first_per_key
-from lamina.operators.skew import balanced_join
+from lamina.operators.skew import balanced_lookups
 from lamina.operators.surrogate import dense_keys
 
 READMISSION_DAYS = 30
@@ -152,10 +153,22 @@ def _with_keys(base: DataFrame, natural_key: str, key_name: str) -> DataFrame:
     return dense_keys(base.select(natural_key), natural_key, key_name).join(base, natural_key)
 
 
+Lookup = tuple[DataFrame, list[str]]  # a table, and the columns it is unique on
+
+
+def patient_lookup(dim_patients: DataFrame) -> Lookup:
+    return dim_patients.select("patient_id", "patient_key"), ["patient_id"]
+
+
+def payer_lookup(dim_payers: DataFrame) -> Lookup:
+    return dim_payers.select("payer_id", "payer_key"), ["payer_id"]
+
+
 def claim_measures(
-    claims: DataFrame, transactions: DataFrame, encounters: DataFrame, numbered: bool = False
+    claims: DataFrame, transactions: DataFrame, encounters: DataFrame,
+    lookups: Sequence[Lookup] = (), numbered: bool = False,
 ) -> DataFrame:
-    """One row per claim with a service date: the claim fact before its dimension keys.
+    """One row per claim with a service date, with its measures and what is looked up.
 
     Claim and encounter are linked by patient and day. The same earliest
     encounter supplies class and money, so one lookup serves both.
@@ -171,10 +184,8 @@ def claim_measures(
     # Claim ids are unique on all sides: plain joins, one partitioning.
     rows = _with_keys(base, "claim_id", "claim_key") if numbered else base
     rows = rows.join(transaction_totals(transactions), "claim_id", "left")
-    rows = balanced_join(
-        rows, first_encounter_of_day(encounters), ["patient_id", "service_day"], "left",
-        spread_by=F.col("claim_id"), probe=base,
-    )
+    by_day = (first_encounter_of_day(encounters), ["patient_id", "service_day"])
+    rows = balanced_lookups(rows, [by_day, *lookups], spread_by=F.col("claim_id"), probe=base)
     return rows.withColumns({
         "encounter_class": F.coalesce("encounter_class", F.lit("unknown")),
         "total_payments": or_zero("total_payments"),
@@ -182,28 +193,13 @@ def claim_measures(
     })
 
 
-def with_payer_key(
-    rows: DataFrame, dim_payers: DataFrame, row_id: str, probe: DataFrame | None = None
-) -> DataFrame:
-    return balanced_join(
-        rows, dim_payers.select("payer_id", "payer_key"), ["payer_id"], "left",
-        spread_by=F.col(row_id), probe=probe,
-    )
-
-
 def fact_claims(
     claims: DataFrame, transactions: DataFrame, encounters: DataFrame,
     dim_patients: DataFrame, dim_payers: DataFrame,
 ) -> DataFrame:
     """One row per claim with a service date."""
-    probe = claims.where("service_date is not null")
-    rows = claim_measures(claims, transactions, encounters, numbered=True)
-    rows = balanced_join(
-        rows, dim_patients.select("patient_id", "patient_key"), ["patient_id"], "left",
-        spread_by=F.col("claim_id"), probe=probe,
-    )
-    rows = with_payer_key(rows, dim_payers, "claim_id", probe)
-    return rows.select(
+    lookups = [patient_lookup(dim_patients), payer_lookup(dim_payers)]
+    return claim_measures(claims, transactions, encounters, lookups, numbered=True).select(
         "claim_key",
         "claim_id",
         "patient_key",
@@ -283,9 +279,10 @@ def patient_profile(dim_patients: DataFrame, careplans: DataFrame) -> DataFrame:
 
 
 def encounter_measures(
-    encounters: DataFrame, conditions: DataFrame, profile: DataFrame, numbered: bool = False
+    encounters: DataFrame, conditions: DataFrame, profile: DataFrame,
+    lookups: Sequence[Lookup] = (), numbered: bool = False,
 ) -> DataFrame:
-    """One row per encounter with a start: the encounter fact before its dimension keys.
+    """One row per encounter with a start, with its measures and what is looked up.
 
     `profile` holds one row per patient with `plan_start`, and whatever else is
     to be looked up by patient.
@@ -309,8 +306,9 @@ def encounter_measures(
     rows = _with_keys(base, "encounter_id", "encounter_key") if numbered else base
     rows = rows.join(counts, "encounter_id", "left")
     rows = rows.join(fresh_acute_encounters(encounters), "encounter_id", "left")
-    rows = balanced_join(
-        rows, profile, ["patient_id"], "left", spread_by=F.col("encounter_id"), probe=base
+    by_patient = (profile, ["patient_id"])
+    rows = balanced_lookups(
+        rows, [by_patient, *lookups], spread_by=F.col("encounter_id"), probe=base
     )
     acute = F.coalesce(F.col("encounter_class").isin(*ACUTE_CLASSES), F.lit(False))
     planned = F.coalesce(F.col("plan_start") <= F.col("start_day"), F.lit(False))
@@ -327,9 +325,8 @@ def fact_encounters(
 ) -> DataFrame:
     """One row per encounter with a start."""
     profile = patient_profile(dim_patients, careplans)
-    rows = encounter_measures(encounters, conditions, profile, numbered=True)
-    probe = encounters.where("start_ts is not null")
-    return with_payer_key(rows, dim_payers, "encounter_id", probe).select(
+    lookups = [payer_lookup(dim_payers)]
+    return encounter_measures(encounters, conditions, profile, lookups, numbered=True).select(
         "encounter_key",
         "encounter_id",
         "patient_key",

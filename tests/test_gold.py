@@ -1,6 +1,5 @@
 """Hand-made edge rows and brute-force comparisons for the gold layer."""
 
-import functools
 import random
 from collections import Counter
 from datetime import date, datetime, timedelta
@@ -9,7 +8,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators.skew import balanced_join, heavy_hitters
+from lamina.operators import skew
+from lamina.operators.skew import balanced_join, heavy_hitters, heavy_hitters_of
 from lamina.operators.surrogate import dense_keys, ensure_checkpoint_dir
 from lamina.plans import answers, gold
 
@@ -245,6 +245,14 @@ def test_heavy_hitters_are_bounded(spark):
     assert len(heavy_hitters(_skewed(spark), ["k"], min_rows=800)) == 2
 
 
+def test_heavy_hitters_of_several_keys(spark):
+    df = _skewed(spark).withColumn("even", F.col("id") % 2)
+    several = heavy_hitters_of(df, [["k"], ["id"], ["even"], ["k", "even"]], min_rows=800)
+    assert several == [sorted(heavy_hitters(df, k, min_rows=800), key=several[i].index)
+                       for i, k in enumerate((["k"], ["id"], ["even"], ["k", "even"]))]
+    assert [len(found) for found in several] == [2, 0, 2, 3]
+
+
 # --- brute force with one patient on a third of everything ---
 
 
@@ -272,7 +280,7 @@ def crowd():
 
 @pytest.fixture
 def salted(monkeypatch, no_broadcast):
-    monkeypatch.setattr(gold, "balanced_join", functools.partial(balanced_join, min_rows=20))
+    monkeypatch.setattr(skew, "HOT_MIN_ROWS", 20)
 
 
 DIM_PATIENTS = [(i + 1, p) for i, p in enumerate(("hot", "p1", "p2", "p3"))]
