@@ -256,9 +256,9 @@ def test_heavy_hitters_of_several_keys(spark):
 # --- brute force with one patient on a third of everything ---
 
 
-@pytest.fixture
-def crowd():
-    rnd = random.Random(3)
+@pytest.fixture(params=[3, 11])
+def crowd(request):
+    rnd = random.Random(request.param)
 
     def patient():
         return rnd.choice(["hot", "hot", None, "p1", "p2", "p3", "gone"])
