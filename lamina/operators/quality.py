@@ -4,69 +4,71 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.columns import moment
 
+# Rules are SQL aggregate expressions: a table's checks go to Spark as one text
+# instead of hundreds of small calls.
 
-def _percent(hits: Column, base: Column) -> Column:
+
+def _percent(hits: str, base: str) -> str:
     """100 * hits / base; an empty base gives 0.0 (and so fails its threshold)."""
-    share = F.lit(100.0) * hits / F.nullif(base, F.lit(0).cast("bigint"))
-    return F.coalesce(share, F.lit(0.0)).cast("double")
+    return f"coalesce(100.0D * {hits} / nullif({base}, 0), 0.0D)"
 
 
-def _rows() -> Column:
-    return F.count(F.lit(1))
+def _literal(value: str | int | float | None) -> str:
+    if value is None:
+        return "cast(null as string)"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value}D" if isinstance(value, float) else str(value)
 
 
-def not_null(column: str) -> Column:
-    return _percent(F.count(column), _rows())
+def not_null(column: str) -> str:
+    return _percent(f"count(`{column}`)", "count(1)")
 
 
-def in_set(column: str, values: Iterable) -> Column:
+def in_set(column: str, values: Iterable[str | int]) -> str:
     """Share of all rows whose value is in the set; NULL is a miss."""
-    return _percent(F.count_if(F.col(column).isin(list(values))), _rows())
+    listed = ", ".join(map(_literal, values))
+    return _percent(f"count_if(`{column}` in ({listed}))", "count(1)")
 
 
-def gte_zero(column: str) -> Column:
+def gte_zero(column: str) -> str:
     """Share of the non-NULL values that are not negative."""
-    return _percent(F.count_if(F.col(column) >= 0), F.count(column))
+    return _percent(f"count_if(`{column}` >= 0)", f"count(`{column}`)")
 
 
-def passed_rows() -> Column:
+def passed_rows() -> str:
     """Share of rows whose own status is PASS."""
-    return _percent(F.count_if(F.col("_dq_status") == "PASS"), _rows())
+    return _percent("count_if(_dq_status = 'PASS')", "count(1)")
 
 
 @dataclass(frozen=True)
 class Check:
     column: str | None  # None: a table-level check
     metric_type: str  # completeness | validity | accuracy | uniqueness
-    measure: Callable[[], Column]  # built late: columns need a running session
+    measure: str
     threshold: float
 
 
 def measure(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """One row per check, in check order: a single scan and a single aggregate."""
-    values = df.agg(*[c.measure().alias(f"_v{i}") for i, c in enumerate(checks)])
+    values = df.agg(*[F.expr(c.measure).alias(f"_v{i}") for i, c in enumerate(checks)])
     rows = [
-        F.struct(
-            F.lit(i + 1).cast("bigint").alias("id"),
-            F.lit(table).alias("table_name"),
-            F.lit(c.column).cast("string").alias("column_name"),
-            F.lit(c.metric_type).alias("metric_type"),
-            F.col(f"_v{i}").alias("metric_value"),
-            F.lit(float(c.threshold)).alias("threshold"),
-            F.when(F.col(f"_v{i}") >= c.threshold, "PASSED").otherwise("FAILED").alias("status"),
-        )
+        f"struct({i + 1}L as id, {_literal(table)} as table_name, "
+        f"{_literal(c.column)} as column_name, {_literal(c.metric_type)} as metric_type, "
+        f"_v{i} as metric_value, {float(c.threshold)}D as threshold, "
+        f"if(_v{i} >= {float(c.threshold)}D, 'PASSED', 'FAILED') as status)"
         for i, c in enumerate(checks)
     ]
-    return values.select(F.inline(F.array(*rows)))
+    return values.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def log_rows(measured: DataFrame, run_id: str, checked_at: datetime) -> DataFrame:

@@ -66,7 +66,7 @@ def unique_hashes(bronze: Mapping[str, DataFrame]) -> DataFrame:
 def pass_rates(silver: Mapping[str, DataFrame]) -> DataFrame:
     """Share of PASS rows, for the tables that carry a row status."""
     return _union([
-        t.agg(*_row("pass rate", name, passed_rows(), passed_rows() >= PASS_RATE))
+        t.agg(*_row("pass rate", name, F.expr(passed_rows()), F.expr(passed_rows()) >= PASS_RATE))
         for name, t in silver.items()
         if "_dq_status" in t.columns
     ])

@@ -94,9 +94,8 @@ def dim_conditions(conditions: DataFrame) -> DataFrame:
     Distinct pairs first: a hash aggregate shrinks the table to the few
     (code, description) pairs before anything is sorted.
     """
-    chronic = F.lit(False)
-    for word in CHRONIC_WORDS:
-        chronic = chronic | F.col("description").ilike(f"%{word}%")
+    patterns = ", ".join(f"'%{word}%'" for word in CHRONIC_WORDS)
+    chronic = F.expr(f"description ilike any ({patterns})")
     rows = (
         conditions.where("code is not null")
         .select("code", "description")

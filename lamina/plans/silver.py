@@ -197,50 +197,48 @@ _ENCOUNTER_CLASSES = (
 )
 CHECKS: dict[str, list[Check]] = {
     "encounters": [
-        Check(None, "completeness", passed_rows, 95),
-        Check("id", "completeness", lambda: not_null("id"), 100),
-        Check("patient_id", "completeness", lambda: not_null("patient_id"), 100),
-        Check("encounter_class", "validity",
-              lambda: in_set("encounter_class", _ENCOUNTER_CLASSES), 95),
-        Check("total_claim_cost", "accuracy", lambda: gte_zero("total_claim_cost"), 99),
+        Check(None, "completeness", passed_rows(), 95),
+        Check("id", "completeness", not_null("id"), 100),
+        Check("patient_id", "completeness", not_null("patient_id"), 100),
+        Check("encounter_class", "validity", in_set("encounter_class", _ENCOUNTER_CLASSES), 95),
+        Check("total_claim_cost", "accuracy", gte_zero("total_claim_cost"), 99),
     ],
     "payers": [
-        Check("id", "completeness", lambda: not_null("id"), 100),
-        Check("ownership", "validity", lambda: in_set("ownership", ("GOVERNMENT", "PRIVATE")), 90),
+        Check("id", "completeness", not_null("id"), 100),
+        Check("ownership", "validity", in_set("ownership", ("GOVERNMENT", "PRIVATE")), 90),
     ],
     "claims": [
-        Check(None, "completeness", passed_rows, 95),
-        Check("id", "completeness", lambda: not_null("id"), 100),
-        Check("patient_id", "completeness", lambda: not_null("patient_id"), 95),
-        Check("claim_status", "validity", lambda: in_set("claim_status", ("OPEN", "CLOSED")), 100),
-        Check("total_outstanding", "accuracy", lambda: gte_zero("total_outstanding"), 99),
+        Check(None, "completeness", passed_rows(), 95),
+        Check("id", "completeness", not_null("id"), 100),
+        Check("patient_id", "completeness", not_null("patient_id"), 95),
+        Check("claim_status", "validity", in_set("claim_status", ("OPEN", "CLOSED")), 100),
+        Check("total_outstanding", "accuracy", gte_zero("total_outstanding"), 99),
     ],
     "claims_transactions": [
-        Check(None, "completeness", passed_rows, 95),
-        Check("claim_id", "completeness", lambda: not_null("claim_id"), 99),
+        Check(None, "completeness", passed_rows(), 95),
+        Check("claim_id", "completeness", not_null("claim_id"), 99),
         Check("transaction_type", "validity",
-              lambda: in_set("transaction_type",
-                             ("CHARGE", "PAYMENT", "TRANSFERIN", "TRANSFEROUT")), 99),
-        Check("amount", "accuracy", lambda: gte_zero("amount"), 95),
+              in_set("transaction_type", ("CHARGE", "PAYMENT", "TRANSFERIN", "TRANSFEROUT")), 99),
+        Check("amount", "accuracy", gte_zero("amount"), 95),
     ],
     "patients": [
-        Check(None, "completeness", passed_rows, 95),
-        Check("id", "completeness", lambda: not_null("id"), 100),
-        Check("birth_year", "completeness", lambda: not_null("birth_year"), 95),
-        Check("birth_year", "validity", lambda: in_set("birth_year", range(1900, 2027)), 99),
-        Check("gender", "validity", lambda: in_set("gender", ("Male", "Female", "Unknown")), 100),
+        Check(None, "completeness", passed_rows(), 95),
+        Check("id", "completeness", not_null("id"), 100),
+        Check("birth_year", "completeness", not_null("birth_year"), 95),
+        Check("birth_year", "validity", in_set("birth_year", range(1900, 2027)), 99),
+        Check("gender", "validity", in_set("gender", ("Male", "Female", "Unknown")), 100),
         Check("age_group", "validity",
-              lambda: in_set("age_group", [g for _, g in _AGE_GROUPS] + [_OLDEST_GROUP]), 100),
+              in_set("age_group", [g for _, g in _AGE_GROUPS] + [_OLDEST_GROUP]), 100),
     ],
     "conditions": [
-        Check(None, "completeness", passed_rows, 95),
-        Check("patient_id", "completeness", lambda: not_null("patient_id"), 100),
-        Check("code", "completeness", lambda: not_null("code"), 100),
-        Check("start_date", "completeness", lambda: not_null("start_date"), 95),
+        Check(None, "completeness", passed_rows(), 95),
+        Check("patient_id", "completeness", not_null("patient_id"), 100),
+        Check("code", "completeness", not_null("code"), 100),
+        Check("start_date", "completeness", not_null("start_date"), 95),
     ],
     "careplans": [
-        Check(None, "completeness", passed_rows, 95),
-        Check("patient_id", "completeness", lambda: not_null("patient_id"), 100),
-        Check("code", "completeness", lambda: not_null("code"), 100),
+        Check(None, "completeness", passed_rows(), 95),
+        Check("patient_id", "completeness", not_null("patient_id"), 100),
+        Check("code", "completeness", not_null("code"), 100),
     ],
 }

@@ -17,10 +17,10 @@ def test_nulls_count_as_a_rule_says(rows):
     df = rows("v int, _dq_status string", (None, "PASS"), (1, "WARN"), (-1, "PASS"))
     got = measured(
         df,
-        Check("v", "accuracy", lambda: gte_zero("v"), 50),
-        Check("v", "completeness", lambda: not_null("v"), 70),
-        Check("v", "validity", lambda: in_set("v", (1, -1)), 0),
-        Check(None, "completeness", passed_rows, 60),
+        Check("v", "accuracy", gte_zero("v"), 50),
+        Check("v", "completeness", not_null("v"), 70),
+        Check("v", "validity", in_set("v", (1, -1)), 0),
+        Check(None, "completeness", passed_rows(), 60),
     )
     assert [round(v, 2) for v, _ in got] == [50.0, 66.67, 66.67, 66.67]
     assert [s for _, s in got] == ["PASSED", "FAILED", "PASSED", "PASSED"]
@@ -29,10 +29,10 @@ def test_nulls_count_as_a_rule_says(rows):
 def test_empty_table_fails_everything(rows):
     df = rows("v int, _dq_status string")
     got = measured(
-        df, Check("v", "accuracy", lambda: gte_zero("v"), 50),
-        Check("v", "completeness", lambda: not_null("v"), 70),
-        Check("v", "validity", lambda: in_set("v", (1,)), 1),
-        Check(None, "completeness", passed_rows, 60))
+        df, Check("v", "accuracy", gte_zero("v"), 50),
+        Check("v", "completeness", not_null("v"), 70),
+        Check("v", "validity", in_set("v", (1,)), 1),
+        Check(None, "completeness", passed_rows(), 60))
     assert got == [(0.0, "FAILED")] * 4
 
 
@@ -45,13 +45,19 @@ def test_all_checks_share_one_scan_and_one_aggregate(spark, tmp_path, rows):
     assert text.count("FileScan") == 1
 
 
+def test_values_are_quoted(rows):
+    df = rows("v string", ("it's",), ("back\\slash",), ("x",))
+    got = measured(df, Check("v", "validity", in_set("v", ("it's", "back\\slash")), 66))
+    assert round(got[0][0], 2) == 66.67
+
+
 def test_every_check_is_registered():
     assert sum(len(c) for c in silver.CHECKS.values()) == 29
 
 
 def test_log_rows(rows):
     df = rows("v int", (1,))
-    checks = [Check("v", "completeness", lambda: not_null("v"), 100)]
+    checks = [Check("v", "completeness", not_null("v"), 100)]
     row = quality.log_rows(quality.measure(df, "t", checks), "run", AS_OF).first()
     assert (row.id, row.run_id, row.checked_at) == (1, "run", AS_OF)
 
@@ -68,5 +74,5 @@ def test_run_id(monkeypatch):
 @pytest.mark.parametrize("hits,status", [(9, "PASSED"), (8, "FAILED")])
 def test_threshold_is_inclusive(rows, hits, status):
     df = rows("v string", *[("a",)] * hits, *[("b",)] * (10 - hits))
-    got = measured(df, Check("v", "validity", lambda: in_set("v", ("a",)), 90))
+    got = measured(df, Check("v", "validity", in_set("v", ("a",)), 90))
     assert got[0][1] == status
