@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontam, minhash, packing, substring
+from lamina.llm import decontam, langid, minhash, packing, substring, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,10 +42,32 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def _fold(number: int) -> Column:
+    """Fold of a document: crc32 of its doc_id as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(number))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where("doc_id is not null").withColumn("held_out", _fold(4) == 2)
+    model = langid.train(docs.where("not held_out"))
+    return langid.predict(docs, model, ("doc_id", "held_out"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where("doc_id is not null").withColumn("held_out", _fold(5) == 0)
+    labels = (table(spark, sf_dir, "labels").where("doc_id is not null and toxic is not null")
+              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    known = docs.where("not held_out").select("doc_id", "text").join(labels, "doc_id")
+    scored = toxicity.score(docs, toxicity.train(known), ("doc_id", "held_out"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "measure", "n_words")
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_language_id": op9_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
