@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontam, langid, minhash, packing, substring, toxicity
+from lamina.llm import decontam, html, langid, minhash, packing, quality, substring, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,10 +20,19 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_recurring(table(spark, sf_dir, "documents"), length=35, with_text=False)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def tokenizer_file(name: str) -> str:
     """A public tokenizer's file; the folder is the installed package's, never copied."""
     import public_tokenizers
@@ -64,7 +73,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_html_extraction": op5_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
