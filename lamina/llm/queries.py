@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import ann, decontam, html, langid, minhash, packing, quality, substring, toxicity
+from lamina.llm import ann, decontam, html, langid, minhash, packing, quality, substring, suffix, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         tokenizer_file("byte_bpe_50k.tiktoken"), capacity=1024, end_id=2)
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeated(table(spark, sf_dir, "documents"), length=50)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_html_extraction": op5_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
