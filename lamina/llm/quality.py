@@ -191,7 +191,7 @@ def perplexity(docs: DataFrame, model: DataFrame, columns: tuple[str, ...] = ("d
         mine = np.array([where[c] == number for c in range(1 << BITS)])
         shared = spark.sparkContext.broadcast((
             own["order"].to_numpy(np.int64), own["key"].to_numpy(np.int64), own["value"].to_numpy(np.float64), uniform, mine))
-        parts.append(docs.select(*columns, "text").mapInArrow(_scored(shared, shards, columns), schema))
+        parts.append(docs.select(*dict.fromkeys((*columns, "text"))).mapInArrow(_scored(shared, shards, columns), schema))
     if not parts:
         return docs.select(*columns, F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("perplexity"))
     summed = parts[0]
@@ -214,7 +214,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin
     Trusted are documents that `labels` gives quality 1. A few characters say little, so the
     measure of a document is its perplexity as if `prior` characters of its
     language's median trusted perplexity stood beside it. A language's threshold is the
-    `quantile` of its trusted documents' measures times `margin`; documents of a
+    `quantile` of its trusted documents' measures times `margin`, taken from a fifth of them by a
+    model of the others; the model that judges is trained on all. Documents of a
     language without trusted ones (null too) take that of all. A document is rejected if
     its measure is above. Null and empty texts have no perplexity and are rejected. Without any trusted
     document all texts but those are kept. Rows without a doc_id are left out.
@@ -230,8 +231,13 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin
     if trusted.where("text <> ''").isEmpty():
         return docs.select(*columns, *(F.lit(None).cast("double").alias(c) for c in ("perplexity", "measure", "threshold")),
                            (F.length(F.coalesce("text", F.lit(""))) > 0).alias("kept"))
+    # Thresholds come from trusted documents that their model hasn't seen: seen ones look too usual.
+    unseen = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    held, seen = trusted.where(unseen), trusted.where(~unseen)
+    if held.where("text <> ''").isEmpty() or seen.where("text <> ''").isEmpty():
+        held = seen = trusted
+    measured = saved(perplexity(held, train(seen), ("doc_id", "lang")).where("perplexity is not null"))
     model = train(trusted)
-    measured = saved(perplexity(trusted, model, ("doc_id", "lang")).where("perplexity is not null"))
 
     def by_language(frame: DataFrame, column: str, share: float) -> tuple[DataFrame, float]:
         value = F.percentile_approx(column, share, 100_000)
