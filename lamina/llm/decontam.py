@@ -121,12 +121,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, keep:
     found = found.withColumn("grams", F.when(F.col("prints").isNotNull(), grams))
     tries = F.when(F.size("grams") > 0, _stretches(F.col("words"), starts, window)).otherwise(
         F.expr("cast(array() as array<struct<start:int,length:int,stretch:string>>)"))
-    for n in short:
-        count = F.size("words") - n
-        tries = F.concat(tries, F.when(F.col("prints").isNotNull() & (count >= 0), _stretches(
-            F.col("words"), F.filter(F.sequence(F.lit(0), count), lambda s, n=n: F.array_contains(
-                "prints", F.xxhash64(F.lit(n), F.slice("hashes", s + 1, n)))), n)).otherwise(
-            F.expr("cast(array() as array<struct<start:int,length:int,stretch:string>>)")))
+    def short_tries(length: int) -> Column:
+        count = F.size("words") - length
+        starts = F.filter(F.sequence(F.lit(0), count), lambda s: F.array_contains(
+            "prints", F.xxhash64(F.lit(length), F.slice("hashes", s + 1, length))))
+        return F.when(F.col("prints").isNotNull() & (count >= 0), _stretches(F.col("words"), starts, length)).otherwise(
+            F.expr("cast(array() as array<struct<start:int,length:int,stretch:string>>)"))
+
+    tries = F.concat(tries, *[short_tries(n) for n in short])
     tried = found.select("row_key", "doc_id", "n_words", *keep, F.explode_outer(tries).alias("try"))
     known = _maybe_broadcast(windows.select("length", "stretch", "held"), rows)
     matched = tried.select("row_key", "doc_id", "n_words", *keep, "try.start", "try.length", "try.stretch").join(
