@@ -2,65 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.operators.skew import balanced_join, heavy_hitters, will_broadcast
-from lamina.operators.surrogate import ensure_checkpoint_dir
-
-# Up to this many unseen hashes (about 25 MB) are sent to every executor.
-BROADCAST_HASHES = 250_000
-
 
-def new_rows(
-    staged: DataFrame,
-    existing: DataFrame,
-    record_key: Sequence[str],
-    dedup_within_batch: bool = False,
-    min_rows: int | None = None,
-) -> DataFrame:
+def new_rows(staged: DataFrame, existing: DataFrame, dedup_within_batch: bool = False) -> DataFrame:
     """Rows of `staged` whose `_row_hash` is not in `existing`.
 
     Copies inside the batch are all kept unless `dedup_within_batch` is set:
     the test looks only at the target as it was before the load.
 
-    A daily load offers mostly rows that are there already. So for a large
-    target only the hashes are shuffled and compared; the wide rows are then
-    filtered where they are read, by the counted and usually few unseen hashes.
+    One lazy plan for all sizes. Hashes meet as 16 bytes, not as 32 characters, and
+    the history's need not be made distinct first: they nearly are, and an
+    anti join asks only whether one is there. Spark broadcasts them where they are
+    few, and splits the partition of a hash that many staged copies share.
     """
     columns = staged.columns
-    # distinct() merges copies before the shuffle the joins need anyway.
-    known = existing.select("_row_hash").distinct()
-    if will_broadcast(known):
-        rows = staged.join(known, "_row_hash", "left_anti")
-    else:
-        rows = _rows_by_unseen(staged, known, record_key, min_rows)
+    known = existing.select(F.unhex("_row_hash").alias("_known"))
+    rows = staged.join(known, F.unhex(staged["_row_hash"]) == known["_known"], "left_anti")
     if dedup_within_batch:
         rows = rows.dropDuplicates(["_row_hash"])
     return rows.select(*columns)
-
-
-def _rows_by_unseen(
-    staged: DataFrame, known: DataFrame, record_key: Sequence[str], min_rows: int | None
-) -> DataFrame:
-    ensure_checkpoint_dir(staged.sparkSession)
-    offered = staged.select("_row_hash").distinct()
-    unseen = offered.join(known, "_row_hash", "left_anti").checkpoint()
-    if unseen.count() <= BROADCAST_HASHES:
-        return staged.join(F.broadcast(unseen), "_row_hash", "left_semi")
-
-    # Much is new, as in a first large load: shuffle the rows to their hashes.
-    # Identical rows share their record key, so a cheap pass over the key
-    # column tells whether hashes need a closer look at all.
-    hot: list[int] = []
-    suspects = heavy_hitters(staged, record_key, min_rows)
-    if suspects:
-        in_suspects = F.xxhash64(*record_key).isin(suspects)
-        hot = heavy_hitters(staged.where(in_suspects), ["_row_hash"], min_rows)
-    # Copies are equal in every column, so only their position can tell them
-    # apart; staged rows come straight from a file scan, where it is stable.
-    return balanced_join(
-        staged, unseen, ["_row_hash"], "left_semi", F.monotonically_increasing_id(), hot=hot
-    )

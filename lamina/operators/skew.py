@@ -14,16 +14,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key is hot when it holds this share of all rows, and at least this many.
-# So there are never more than 1 / HOT_SHARE hot keys.
+# A key is hot when it holds so many times the rows of an average shuffle partition,
+# or this share of all rows if that is less, and at least HOT_MIN_ROWS.
+HOT_PARTITIONS = 4
 HOT_SHARE = 1 / 500
 HOT_MIN_ROWS = 1_000_000
-# Key hashes are counted in this many buckets first.
+# Key hashes are counted in at least this many buckets first, and two a partition.
 BUCKETS = 4096
 # Spreads of a hot key per shuffle partition.
 SPREADS = 8
 
 
+def hot_share(partitions: int) -> float:
+    """Share of all rows from which a key is hot; no more than its inverse can be."""
+    return min(HOT_SHARE, HOT_PARTITIONS / partitions)
+
+
 def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
@@ -31,7 +37,7 @@ def _key_hash(keys: Sequence[str]) -> Column:
 def heavy_hitters(
     df: DataFrame, keys: Sequence[str], min_rows: int | None = None
 ) -> list[int]:
-    """Hashes of the keys that hold a large share of the rows (at most 500)."""
+    """Hashes of the keys that hold a large share of the rows (at most 500, or a quarter of the partitions)."""
     return heavy_hitters_of(df, [keys], min_rows)[0]
 
 
@@ -46,11 +52,13 @@ def heavy_hitters_of(
     buckets alone are counted one by one.
     """
     hashed = df.select(F.posexplode(F.array(*[_key_hash(k) for k in key_sets])).alias("set", "key"))
-    hashed = hashed.withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int"))
-    # At most BUCKETS rows for each key set.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = max(BUCKETS, 2 * partitions)
+    hashed = hashed.withColumn("bucket", F.pmod("key", F.lit(size)).cast("int"))
+    # At most `size` rows for each key set.
     buckets = hashed.groupBy("set", "bucket").count().collect()
     total = sum(b["count"] for b in buckets if b["set"] == 0)
-    floor = max(HOT_MIN_ROWS if min_rows is None else min_rows, HOT_SHARE * total)
+    floor = max(HOT_MIN_ROWS if min_rows is None else min_rows, hot_share(partitions) * total)
     hot: list[list[int]] = [[] for _ in key_sets]
     heavy = {i: [b["bucket"] for b in buckets if b["set"] == i and b["count"] >= floor]
              for i in range(len(key_sets))}
@@ -59,7 +67,7 @@ def heavy_hitters_of(
         for i, found in heavy.items():
             suspect = suspect | ((F.col("set") == i) & F.col("bucket").isin(found))
         counts = hashed.where(suspect).groupBy("set", "key").count().where(F.col("count") >= floor)
-        for row in counts.collect():  # at most 1 / HOT_SHARE rows for each key set
+        for row in counts.collect():  # at most 1 / hot_share rows for each key set
             hot[row["set"]].append(row["key"])
     return hot
 

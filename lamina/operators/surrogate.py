@@ -32,13 +32,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-checkpoint-"))
 
 
+def stable_keys(
+    df: DataFrame, natural_key: str, key_name: str, first_by: Sequence[Column] | None = None,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """As `dense_keys`, but natural keys of `known` keep the keys they have there.
+
+    Only new natural keys are numbered, from the largest known key on. So rows that were stored
+    with a key keep meeting the row it stood for when others come or go.
+    """
+    if known is None:
+        return dense_keys(df, natural_key, key_name, first_by)
+    if first_by is not None:
+        df = first_per_key(df, [natural_key], first_by)
+    known = known.select(natural_key, key_name)
+    last = known.agg(F.max(key_name)).first()[0] or 0  # one number
+    fresh = dense_keys(df.join(known, natural_key, "left_anti"), natural_key, key_name)
+    kept = df.join(known, natural_key).select(key_name, *df.columns)
+    return kept.unionByName(fresh.withColumn(key_name, F.col(key_name) + F.lit(last)))
+
+
 def dense_keys(
     df: DataFrame, natural_key: str, key_name: str, first_by: Sequence[Column] | None = None
 ) -> DataFrame:
     """Add `key_name`, numbering rows 1..n by `natural_key` (unique, not NULL).
 
     With `first_by`, only the first row of each natural key in that order is
-    kept (insert-ignore), on the placement the numbering needs anyway.
+    kept (insert-ignore), before the rows are placed for numbering.
 
     Rows are range-partitioned and sorted in parallel; a row's key is its index
     in its partition plus the sizes of the partitions before it. Range bounds
@@ -46,9 +66,8 @@ def dense_keys(
     below, and any task run again, see one and the same placement.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(F.col(natural_key))
-    if first_by is not None:
-        ranged = first_per_key(ranged, [natural_key], first_by)
+    rows = df if first_by is None else first_per_key(df, [natural_key], first_by)
+    ranged = rows.repartitionByRange(F.col(natural_key))
     placed = (
         ranged.sortWithinPartitions(natural_key)
         .withColumn("_place", F.monotonically_increasing_id())

@@ -36,4 +36,4 @@ def increment(
     staged = stage(raw, table, ingested_at)
     if existing is None:
         return staged.dropDuplicates(["_row_hash"]) if dedup_within_batch else staged
-    return new_rows(staged, existing, BRONZE[table].record_key, dedup_within_batch)
+    return new_rows(staged, existing, dedup_within_batch)

@@ -20,6 +20,13 @@ GOLD_REFERENCES = (
     ("fact_encounters", "payer_key", "dim_payers", "payer_key"),
     ("fact_encounters", "date_key", "dim_date", "date_key"),
 )
+# What a fact's surrogate key stands for: the record it came from, and that record's natural key.
+GOLD_MEANING = (
+    ("fact_claims", "claim_id", "claims", "id", "payer_id", "payer_key", "dim_payers"),
+    ("fact_claims", "claim_id", "claims", "id", "patient_id", "patient_key", "dim_patients"),
+    ("fact_encounters", "encounter_id", "encounters", "id", "payer_id", "payer_key", "dim_payers"),
+    ("fact_encounters", "encounter_id", "encounters", "id", "patient_id", "patient_key", "dim_patients"),
+)
 GOLD_NATURAL_KEYS = (
     ("dim_date", "date_key"),
     ("dim_patients", "patient_id"),
@@ -96,6 +103,23 @@ def gold_references(gold: Mapping[str, DataFrame]) -> DataFrame:
     return _union(frames)
 
 
+def gold_meaning(gold: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) -> DataFrame:
+    """Every fact key points at the dimension row of the natural key its record has.
+
+    A key that resolves can still be a wrong one; this is the check that would see it.
+    """
+    frames = []
+    for fact, fact_id, record, record_id, natural, key, dim in GOLD_MEANING:
+        pairs = gold[fact].where(F.col(key).isNotNull()).select(F.col(fact_id).alias("_id"), key).join(
+            silver[record].select(F.col(record_id).alias("_id"), natural), "_id")
+        # Few pairs of key and natural key: counted before they meet the dimension.
+        counts = pairs.groupBy(key, natural).agg(F.count(F.lit(1)).alias("_rows"))
+        meant = gold[dim].select(key, F.col(natural).alias("_meant"))
+        wrong = F.coalesce(F.sum(F.when(~F.col(natural).eqNullSafe(F.col("_meant")), F.col("_rows"))), F.lit(0))
+        frames.append(counts.join(meant, key, "left").agg(*_row(f"{key} means {natural}", fact, wrong, wrong == 0)))
+    return _union(frames)
+
+
 def gold_flags(gold: Mapping[str, DataFrame]) -> DataFrame:
     """Precomputed flags are never NULL."""
     frames = []

@@ -12,8 +12,9 @@ from pyspark.sql import Window
 from lamina.functions.columns import date_key, exact_ratio, money, or_zero, padded_name
 from lamina.operators.latest import first_per_key
 from lamina.operators.skew import balanced_lookups
-from lamina.operators.surrogate import dense_keys
+from lamina.operators.surrogate import dense_keys, stable_keys
 
+# The days within which a stay counts as a readmission, and the classes it looks at.
 READMISSION_DAYS = 30
 ACUTE_CLASSES = ("inpatient", "emergency")
 
@@ -70,25 +71,29 @@ def dim_date(first_day: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def dim_patients(patients: DataFrame) -> DataFrame:
+def dim_patients(patients: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """`known`: the dimension as stored; its patients keep their keys."""
     return _entity_dim(
-        patients, "patient", ["age_group", "gender", "race", "ethnicity", "is_deceased"]
+        patients, "patient", ["age_group", "gender", "race", "ethnicity", "is_deceased"], known
     )
 
 
-def dim_payers(payers: DataFrame) -> DataFrame:
-    return _entity_dim(payers, "payer", ["name", "ownership"])
+def dim_payers(payers: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """`known`: the dimension as stored; its payers keep their keys."""
+    return _entity_dim(payers, "payer", ["name", "ownership"], known)
 
 
-def _entity_dim(silver: DataFrame, entity: str, columns: list[str]) -> DataFrame:
-    """One row per natural key with a dense surrogate key."""
+def _entity_dim(
+    silver: DataFrame, entity: str, columns: list[str], known: DataFrame | None
+) -> DataFrame:
+    """One row per natural key with a surrogate key, dense when nothing is known."""
     rows = silver.where("id is not null").select(F.col("id").alias(f"{entity}_id"), *columns)
-    return dense_keys(
-        rows, f"{entity}_id", f"{entity}_key", first_by=[F.asc_nulls_last(c) for c in columns]
+    return stable_keys(
+        rows, f"{entity}_id", f"{entity}_key", [F.asc_nulls_last(c) for c in columns], known
     )
 
 
-def dim_conditions(conditions: DataFrame) -> DataFrame:
+def dim_conditions(conditions: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """First description per code, and whether it reads as chronic.
 
     Distinct pairs first: a hash aggregate shrinks the table to the few
@@ -104,7 +109,7 @@ def dim_conditions(conditions: DataFrame) -> DataFrame:
         .agg(F.min("description").alias("description"))
         .withColumn("condition_category", F.when(chronic, "Chronic").otherwise("Acute"))
     )
-    return dense_keys(rows, "code", "condition_key")
+    return stable_keys(rows, "code", "condition_key", known=known)
 
 
 # --- claims --------------------------------------------------------------

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 from itertools import groupby
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,11 @@ FACTS = ("fact_claims", "fact_encounters")
 GOLD_TABLES = DIMENSIONS + FACTS
 
 
+def run_label(layer: str, now: datetime) -> str:
+    """A run id for a caller without one. Fixed format: layer, UTC second, eight hex digits, two underscores between."""
+    return "__".join((layer, f"{now.astimezone(timezone.utc):%Y%m%dT%H%M%S}", f"{uuid4().int:032x}"[:8]))
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """One flow in dependency order.
@@ -45,6 +51,11 @@ class Warehouse:
         """
         if self.tables.is_loaded("raw", "patients"):
             self.tables.report("raw layer already populated, skipping")
+            for table in RAW_LAYOUTS:  # a load that broke off, or a file that came later
+                if self.tables.find("raw", table) is None and path_exists(
+                    self.tables.spark, f"{folder.rstrip('/')}/{table}.csv"
+                ):
+                    self.tables.report(f"  ERROR {table}: has a file but was never loaded")
             return {}
         loaded = {}
         for table in RAW_LAYOUTS:
@@ -58,18 +69,21 @@ class Warehouse:
 
     # --- bronze ---
 
-    def load_bronze(self, table: str, raw: DataFrame, as_of: datetime) -> int:
+    def load_bronze(
+        self, table: str, raw: DataFrame, as_of: datetime, dedup_within_batch: bool = False
+    ) -> int:
         existing = self.tables.find("bronze", table)
         return self.tables.append(
-            "bronze", table, bronze.increment(raw, existing, table, as_of)
+            "bronze", table, bronze.increment(raw, existing, table, as_of, dedup_within_batch)
         )
 
     # --- silver ---
 
     def load_silver(self, table: str, as_of: datetime, run_id: str) -> int:
-        """Refresh one silver table, then log its checks from what was stored."""
-        rows = self.refresh_silver(table, as_of)
-        self.log_checks([table], as_of, run_id)
+        """Refresh one silver table and log its checks; both become visible together."""
+        with self.tables.together():
+            rows = self.refresh_silver(table, as_of)
+            self.log_checks([table], as_of, run_id)
         return rows
 
     def refresh_silver(self, table: str, as_of: datetime) -> int:
@@ -110,16 +124,20 @@ class Warehouse:
         def g(name: str) -> DataFrame:
             return self.tables.read("gold", name)
 
+        def stored(name: str) -> DataFrame | None:
+            # Facts hold a dimension's keys, so a refresh may not deal them anew.
+            return self.tables.find("gold", name)
+
         if table == "dim_date":
             return gold.dim_date(
                 gold.first_warehouse_day(s("claims"), s("encounters")), as_of
             ).coalesce(1)
         if table == "dim_patients":
-            return gold.dim_patients(s("patients"))
+            return gold.dim_patients(s("patients"), stored(table))
         if table == "dim_payers":
-            return gold.dim_payers(s("payers"))
+            return gold.dim_payers(s("payers"), stored(table))
         if table == "dim_conditions":
-            return gold.dim_conditions(s("conditions"))
+            return gold.dim_conditions(s("conditions"), stored(table))
         if table == "fact_claims":
             return gold.fact_claims(
                 s("claims"), s("claims_transactions"), s("encounters"),
@@ -141,9 +159,10 @@ class Warehouse:
         """Run every step. `raw` defaults to the stored raw layer. Returns the run id.
 
         Tables of a layer do not depend on each other, so up to `at_once` of
-        them are submitted together and share the executors.
+        them are submitted together and share the executors. Silver and its
+        checks become visible in one step, and so do all gold tables.
         """
-        run_id = run_id or quality.new_run_id("silver")
+        run_id = run_id or run_label("silver", datetime.now(timezone.utc))
 
         def source(table: str) -> DataFrame:
             return raw[table] if raw is not None else self.tables.read("raw", table)
@@ -153,10 +172,12 @@ class Warehouse:
                 list(pool.map(load, names))  # waits, and raises what a load raised
 
             each(lambda t: self.load_bronze(t, source(t), as_of), BRONZE)
-            each(lambda t: self.refresh_silver(t, as_of), BRONZE)
-            self.log_checks(BRONZE, as_of, run_id)
-            each(lambda t: self.load_gold(t, as_of), DIMENSIONS)
-            each(lambda t: self.load_gold(t, as_of), FACTS)
+            with self.tables.together():
+                each(lambda t: self.refresh_silver(t, as_of), BRONZE)
+                self.log_checks(BRONZE, as_of, run_id)
+            with self.tables.together():
+                each(lambda t: self.load_gold(t, as_of), DIMENSIONS)
+                each(lambda t: self.load_gold(t, as_of), FACTS)
         return run_id
 
     def publish(self) -> list[str]:
@@ -204,7 +225,9 @@ class Warehouse:
         if layer == "dq":
             return checks.log_status(self.tables.read("metadata", LOG))
         if layer == "gold":
-            return checks.gold_layer({t: self.tables.read("gold", t) for t in GOLD_TABLES})
+            stored = {t: self.tables.read("gold", t) for t in GOLD_TABLES}
+            silver_layer = {t: self.tables.read("silver", t) for t in ("claims", "encounters")}
+            return checks.gold_layer(stored).unionByName(checks.gold_meaning(stored, silver_layer))
         frames = {t: self.tables.read(layer, t) for t in BRONZE}
         if layer == "bronze":
             return checks.populated(frames).unionByName(checks.unique_hashes(frames))

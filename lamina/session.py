@@ -16,6 +16,7 @@ def local_session(name: str, cores: int | str = "*", **settings: str) -> SparkSe
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in settings.items():

@@ -1,11 +1,21 @@
-"""Layered Parquet tables under one warehouse folder: <root>/<layer>/<table>."""
+"""Layered Parquet tables under one warehouse folder.
+
+A table is a list of folders, <root>/<layer>/<table>/<part>. Which ones, says the
+newest manifest in <root>/_manifest, a small JSON file for all tables. Every
+write goes to a fresh folder first; it becomes visible by the next manifest. So a
+refresh or append that fails leaves all tables as they were, several changes can
+become visible together, and nothing is ever overwritten in place.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+import json
+import threading
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,10 +31,16 @@ NAMESPACES = {
 }
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """A path and the file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Look a path up in whatever file system it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    target, system = _hadoop(spark, path)
+    return system.exists(target)
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -32,26 +48,110 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema).limit(0)
 
 
+class _Pending:
+    """Changes that are to become visible together."""
+
+    def __init__(self) -> None:
+        self.lock = threading.RLock()
+        self.changes: dict[str, tuple[str, list[str]]] | None = None  # key -> (mode, folders)
+
+
 @dataclass(frozen=True)
 class Tables:
     spark: SparkSession
     root: str
     report: Callable[[str], None] = print
+    _pending: _Pending = field(default_factory=_Pending, compare=False, repr=False)
+
+    # --- the manifest ---
+
+    def _manifests(self) -> list[int]:
+        folder, system = _hadoop(self.spark, f"{self.root.rstrip('/')}/_manifest")
+        if not system.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in system.listStatus(folder)]
+        return sorted(int(n.removesuffix(".json")) for n in names if n[0].isdigit() and n.endswith(".json"))
+
+    def _manifest(self) -> tuple[int, dict[str, list[str]]]:
+        """Number and content of the newest manifest; 0 and nothing before the first."""
+        numbers = self._manifests()
+        if not numbers:
+            return 0, {}
+        path, system = _hadoop(self.spark, f"{self.root.rstrip('/')}/_manifest/{numbers[-1]}.json")
+        stream = system.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return numbers[-1], json.loads(text)
+
+    def _commit(self, changes: dict[str, tuple[str, list[str]]]) -> None:
+        """Make changes visible in one step, on top of whatever the newest manifest says."""
+        base = f"{self.root.rstrip('/')}/_manifest"
+        with self._pending.lock:
+            while True:
+                number, tables = self._manifest()
+                replaced = [p for k, (mode, _) in changes.items() if mode == "replace" for p in tables.get(k, [])]
+                for key, (mode, folders) in changes.items():
+                    tables[key] = folders if mode == "replace" else tables.get(key, []) + folders
+                written, system = _hadoop(self.spark, f"{base}/tmp-{uuid.uuid4().hex}")
+                stream = system.create(written, True)
+                stream.write(bytearray(json.dumps(tables).encode()))
+                stream.close()
+                final, _ = _hadoop(self.spark, f"{base}/{number + 1}.json")
+                if not system.exists(final) and system.rename(written, final):
+                    break
+                system.delete(written, False)  # another writer was first: start from its manifest
+            for old in self._manifests()[:-2]:
+                system.delete(_hadoop(self.spark, f"{base}/{old}.json")[0], False)
+            retired = f"{base}/retired-{number}.txt"  # folders that the manifest before needs no more
+            self._retire(system, retired, replaced, base, number)
+
+    def _retire(self, system, note: str, replaced: list[str], base: str, number: int) -> None:
+        """Note what was replaced; delete what the change before replaced, as its readers have had a whole change's time."""
+        folder, _ = _hadoop(self.spark, base)
+        for status in system.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith("retired-") and int(name[8:-4]) < number:
+                stream = system.open(status.getPath())
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+                stream.close()
+                for path in filter(None, text.split("\n")):
+                    target, fs = _hadoop(self.spark, f"{self.root.rstrip('/')}/{path}")
+                    fs.delete(target, True)
+                system.delete(status.getPath(), False)
+        if replaced:
+            stream = system.create(_hadoop(self.spark, note)[0], True)
+            stream.write(bytearray("\n".join(replaced).encode()))
+            stream.close()
+
+    @contextmanager
+    def together(self) -> Iterator[None]:
+        """All writes inside become visible at once at the end, or not at all. Reads inside see them."""
+        with self._pending.lock:
+            if self._pending.changes is not None:
+                raise RuntimeError("already inside a joint change")
+            self._pending.changes = {}
+        try:
+            yield
+            if self._pending.changes:
+                self._commit(self._pending.changes)
+        finally:
+            self._pending.changes = None
 
-    def path(self, layer: str, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{table}"
+    def folders(self, layer: str, table: str) -> list[str]:
+        """The folders that make up a table now; none if it was never written."""
+        key = f"{layer}/{table}"
+        found = self._manifest()[1].get(key, [])
+        mode, fresh = (self._pending.changes or {}).get(key, ("append", []))
+        return [f"{self.root.rstrip('/')}/{p}" for p in (fresh if mode == "replace" else found + fresh)]
+
+    # --- reading ---
 
     def find(self, layer: str, table: str) -> DataFrame | None:
         """The table, or None when it was never written."""
-        path = self.path(layer, table)
-        if not path_exists(self.spark, path):
-            return None
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a first write that failed
-                return None
-            raise
+        paths = self.folders(layer, table)
+        return self.spark.read.parquet(*paths) if paths else None
 
     def read(self, layer: str, table: str) -> DataFrame:
         df = self.find(layer, table)
@@ -68,31 +168,37 @@ class Tables:
         df = self.find(layer, table)
         return df is not None and not df.limit(1).isEmpty()
 
-    def refresh(self, layer: str, table: str, df: DataFrame) -> int:
-        """Replace this table, and only this one. Returns the rows written.
+    # --- writing ---
 
-        A layer is always computed from the layers below it, so the path being
-        replaced is never one being read.
-        """
-        return self._write(layer, table, df, "overwrite")
+    def refresh(self, layer: str, table: str, df: DataFrame) -> int:
+        """Replace this table, and only this one; `df` may read it. Returns the rows written."""
+        return self._write(layer, table, df, "replace")
 
     def append(self, layer: str, table: str, df: DataFrame) -> int:
-        """Add rows. A plan reading the same table sees the files listed before."""
+        """Add rows; `df` may read the table. Returns the rows written."""
         return self._write(layer, table, df, "append")
 
     def _write(self, layer: str, table: str, df: DataFrame, mode: str) -> int:
         # Counted while writing: no second pass.
         seen = Observation()
+        part = f"{layer}/{table}/{uuid.uuid4().hex}"
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode(mode).parquet(self.path(layer, table))
+        counted.write.parquet(f"{self.root.rstrip('/')}/{part}")
         rows = seen.get["rows"]
+        with self._pending.lock:
+            pending = self._pending.changes
+            if pending is None:
+                self._commit({f"{layer}/{table}": (mode, [part])})
+            else:
+                before, folders = pending.get(f"{layer}/{table}", (mode, []))
+                pending[f"{layer}/{table}"] = (mode, [part]) if mode == "replace" else (before, [*folders, part])
         self.report(f"  {layer}.{table}: {rows} rows")
         return rows
 
     def publish(self, layer: str, tables: Iterable[str]) -> list[str]:
-        """Make stored tables known to SQL, as <namespace>.<table>.
+        """Make stored tables known to SQL, as views <namespace>.<table> of what they hold now.
 
-        The catalog only points at the files. Publish again after a refresh.
+        Publish again after a refresh or an append.
         """
         namespace, published = NAMESPACES[layer], []
         self.spark.sql(
@@ -100,12 +206,12 @@ class Tables:
             f"location '{self.root.rstrip('/')}/{layer}'"
         )
         for table in tables:
-            if self.find(layer, table) is None:
+            paths = self.folders(layer, table)
+            if not paths:
                 continue
             name = f"{namespace}.{table}"
-            self.spark.sql(f"drop table if exists {name}")  # external: files stay
-            self.spark.sql(
-                f"create table {name} using parquet location '{self.path(layer, table)}'"
-            )
+            self.spark.sql(f"drop view if exists {name}")
+            parts = " union all ".join(f"select * from parquet.`{p}`" for p in paths)
+            self.spark.sql(f"create view {name} as {parts}")
             published.append(name)
         return published

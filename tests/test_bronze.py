@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.operators import append
-from lamina.operators.skew import heavy_hitters
 from lamina.plans import bronze
 from tests.test_silver import RAW
 
@@ -48,26 +47,26 @@ def _copied(spark):
 
 
 @pytest.mark.parametrize("seen", [True, False])
-@pytest.mark.parametrize("few", [True, False])
-def test_copies_against_a_large_target_stay_whole(spark, no_broadcast, monkeypatch, seen, few):
-    """All copies load, or none, whether unseen hashes are broadcast or not."""
-    monkeypatch.setattr(append, "BROADCAST_HASHES", 10_000 if few else 0)
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_copies_against_a_large_target_stay_whole(spark, request, seen, broadcast):
+    """All copies load, or none, whether the target's hashes are broadcast or not."""
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
     staged = bronze.stage(_copied(spark), "conditions", AS_OF)
-    assert len(heavy_hitters(staged, ["_row_hash"], min_rows=100)) == 1
     known = staged.where("patient = 'hot'" if seen else "patient in ('1', '2')")
-    key = ["patient", "encounter", "code"]
-    new = append.new_rows(staged, known, key, min_rows=100)
-    plan = new._jdf.queryExecution().toString()
-    assert ("_salt" in plan) is not few
+    new = append.new_rows(staged, known)
     assert new.count() == (2000 if seen else 2998)
     assert new.columns == staged.columns
-    once = append.new_rows(staged, known, key, dedup_within_batch=True, min_rows=100)
-    assert once.count() == (2000 if seen else 1999)
+    assert append.new_rows(staged, known, dedup_within_batch=True).count() == (2000 if seen else 1999)
 
 
-def test_wide_rows_are_not_shuffled_when_little_is_new(spark, no_broadcast):
+def test_append_is_one_lazy_plan(spark, no_broadcast):
+    """No job runs while it is planned, nothing is salted, checkpointed or made distinct."""
     staged = bronze.stage(_copied(spark), "conditions", AS_OF)
-    new = append.new_rows(staged, staged.where("patient <> '7'"), ["patient", "encounter", "code"])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "append")
+    new = append.new_rows(staged, staged.where("patient <> '7'"))
     plan = new._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert tracker.getJobIdsForGroup("planning") == []
+    assert plan.count("Join") == 1 and "Aggregate" not in plan and "_salt" not in plan
     assert [r.patient for r in new.collect()] == ["7"]

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 
@@ -62,13 +62,11 @@ def test_log_rows(rows):
     assert (row.id, row.run_id, row.checked_at) == (1, "run", AS_OF)
 
 
-def test_run_id(monkeypatch):
-    monkeypatch.delenv("AIRFLOW_RUN_ID", raising=False)
-    prefix, stamp, tail = quality.new_run_id("silver").split("__")
-    assert prefix == "silver" and len(tail) == 8
-    datetime.strptime(stamp, "%Y%m%dT%H%M%S")
-    monkeypatch.setenv("AIRFLOW_RUN_ID", "given")
-    assert quality.new_run_id("silver") == "given"
+def test_run_label():
+    from lamina.plans.warehouse import run_label
+
+    prefix, stamp, tail = run_label("silver", datetime(2024, 6, 30, 1, 2, 3, tzinfo=timezone.utc)).split("__")
+    assert (prefix, stamp, len(tail)) == ("silver", "20240630T010203", 8)
 
 
 @pytest.mark.parametrize("hits,status", [(9, "PASSED"), (8, "FAILED")])

@@ -88,10 +88,57 @@ def test_published_tables_answer_sql(built, spark):
     assert spark.table("dw_gold.fact_claims").count() > 0
 
 
-def test_unfinished_first_write_counts_as_missing(spark, tmp_path):
-    tables = Tables(spark, str(tmp_path))
-    (tmp_path / "bronze" / "claims" / "_temporary").mkdir(parents=True)
-    assert tables.find("bronze", "claims") is None
+def _raising(spark, df):
+    """A plan that fails once it runs."""
+    return df.where("cast(raise_error('broken') as boolean)")
+
+
+def test_failed_refresh_leaves_the_table(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path), lambda line: None)
+    with pytest.raises(Exception, match="broken"):
+        tables.refresh("silver", "payers", _raising(spark, spark.range(5)))
+    assert tables.find("silver", "payers") is None  # a first write that failed
+    tables.refresh("silver", "payers", spark.range(11))
+    for write in (tables.refresh, tables.append):
+        with pytest.raises(Exception, match="broken"):
+            write("silver", "payers", _raising(spark, spark.range(5)))
+        assert tables.read("silver", "payers").count() == 11
+
+
+def test_joint_changes_are_seen_together_or_not_at_all(spark, tmp_path):
+    tables, other = (Tables(spark, str(tmp_path), lambda line: None) for _ in range(2))
+    tables.refresh("silver", "a", spark.range(1))
+    with pytest.raises(ZeroDivisionError):
+        with tables.together():
+            tables.refresh("silver", "a", spark.range(5))
+            tables.append("silver", "b", spark.range(5))
+            assert tables.read("silver", "a").count() == 5 and other.read("silver", "a").count() == 1
+            assert other.find("silver", "b") is None
+            raise ZeroDivisionError
+    assert tables.read("silver", "a").count() == 1 and tables.find("silver", "b") is None
+    with tables.together():
+        tables.refresh("silver", "a", spark.range(2))
+        tables.append("silver", "b", spark.range(3))
+        tables.append("silver", "b", spark.range(4))
+    assert other.read("silver", "a").count() == 2 and other.read("silver", "b").count() == 7
+
+
+def test_writes_of_two_writers_all_stay(spark, tmp_path):
+    writers = [Tables(spark, str(tmp_path), lambda line: None) for _ in range(2)]
+    for i in range(6):
+        writers[i % 2].append("bronze", "t", spark.range(1))
+    assert writers[0].read("bronze", "t").count() == 6
+
+
+def test_a_refresh_may_read_its_table_and_old_folders_go(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path), lambda line: None)
+    tables.refresh("gold", "t", spark.range(3))
+    for _ in range(5):
+        before = tables.read("gold", "t")
+        tables.refresh("gold", "t", before.unionByName(before.limit(1)))
+        assert before.count() < tables.read("gold", "t").count()  # readers of the version before go on
+    assert tables.read("gold", "t").count() == 8
+    assert len(list((tmp_path / "gold" / "t").iterdir())) <= 2
 
 
 def test_second_load_adds_no_bronze_rows(built):
@@ -111,11 +158,40 @@ def test_refresh_is_repeatable_and_keys_are_stable(built):
         assert sorted(house.tables.read("gold", table).collect(), key=str) == before[table]
 
 
-def test_refreshing_a_dimension_leaves_the_facts(built):
-    house = built[0]
-    facts = house.tables.read("gold", "fact_claims").count()
-    house.load_gold("dim_payers", AS_OF)
-    assert house.tables.read("gold", "fact_claims").count() == facts
+def test_a_new_payer_moves_no_money(spark, tmp_path, built):
+    """A payer that sorts first comes; only its dimension is loaded; the answers by payer stay."""
+    raw = built[1]
+    house = Warehouse(Tables(spark, str(tmp_path), lambda line: None))
+    house.build(raw, AS_OF, "run-1")
+
+    def answer():
+        return sorted(map(str, house.revenue_cycle().collect()))
+
+    before, keys = answer(), {r.payer_id: r.payer_key for r in house.tables.read("gold", "dim_payers").collect()}
+    first = raw["payers"].limit(1).selectExpr(
+        "cast(-5 as bigint) id", *[c for c in raw["payers"].columns if c != "id"])
+    later = AS_OF + timedelta(days=1)
+    assert house.load_bronze("payers", first, later) == 1
+    house.load_silver("payers", later, "run-2")
+    house.load_gold("dim_payers", later)
+    now = {r.payer_id: r.payer_key for r in house.tables.read("gold", "dim_payers").collect()}
+    (new,) = now.keys() - keys.keys()
+    assert {k: v for k, v in now.items() if k != new} == keys and now[new] == max(keys.values()) + 1
+    assert answer() == before
+    assert all(r.ok for r in house.verify("gold").collect())
+    house.load_gold("fact_claims", later)
+    assert answer() == before
+
+
+def test_a_key_that_means_another_payer_is_seen(spark, tmp_path, built):
+    house = Warehouse(Tables(spark, str(tmp_path), lambda line: None))
+    house.build(built[1], AS_OF, "run-1")
+    payers = house.tables.read("gold", "dim_payers")
+    last = payers.agg({"payer_key": "max"}).first()[0]
+    house.tables.refresh("gold", "dim_payers", payers.withColumn(
+        "payer_key", last + 1 - payers["payer_key"]))  # every key still resolves
+    bad = {r.check for r in house.verify("gold").where("not ok").collect()}
+    assert bad == {"payer_key means payer_id"}
 
 
 def test_log_grows_by_29_rows_a_run(built):
