@@ -50,7 +50,9 @@ def train(vectors: DataFrame, sample: int = 8192, recall: float = 0.985, k: int
     if not total:
         return None
     kept = vectors.select("embedding", F.xxhash64("vec_id", F.lit("fit")).alias("h")).orderBy("h").limit(sample)
-    data = np.array([r["embedding"] for r in kept.collect()], np.float64)
+    rows = [r["embedding"] for r in kept.collect()]
+    sizes = np.bincount([len(r) for r in rows])
+    data = np.array([r for r in rows if len(r) == sizes.argmax()], np.float64)  # the usual dimension
     count, dims = data.shape
     rng = np.random.default_rng(7)
     lists = int(max(1, min(1024, count // 16, round(np.sqrt(total)))))
@@ -155,7 +157,8 @@ def _searched(shared, k: int):
             for i in range(batch.num_rows):
                 members, asked = batch.column("members")[i].values, batch.column("asked")[i].values
                 data = members.field("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
-                ids = members.field("vec_id").to_numpy()
+                ids, once = np.unique(members.field("vec_id").to_numpy(), return_index=True)
+                data = data[once]
                 queries = asked.field("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
                 numbers = asked.field("vec_id").to_numpy()
                 turned = np.ascontiguousarray((data @ index.rotation).T)

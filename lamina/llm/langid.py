@@ -96,7 +96,7 @@ def train(labelled: DataFrame, smoothing: float = 0.1) -> Model:
 
     known = labelled.where("lang is not null").select("lang", "text")
     summed = known.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    rows = summed.toPandas()  # BUCKETS + 1 rows a language at most
+    rows = summed.toArrow().to_pandas()  # BUCKETS + 1 rows a language at most
     languages = sorted(rows["lang"].unique().tolist())
     counts, prior = np.zeros((BUCKETS, len(languages))), np.zeros(len(languages))
     for k, name in enumerate(languages):

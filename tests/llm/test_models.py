@@ -1,0 +1,158 @@
+"""Trained operators: exact parts against plain versions, the rest by held-out accuracy."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from lamina.llm import langid, quality, queries, toxicity
+from lamina.llm.html import blocks
+
+SF = "/root/testdata/sf0.01"
+
+
+def kneser_ney(texts, order, discounts):
+    """Interpolated modified Kneser-Ney from its definition: probability of a character after a context."""
+    counts = [None] + [Counter() for _ in range(order)]
+    for text in texts:
+        padded = "\0" * (order - 1) + text
+        for k in range(len(text)):
+            counts[order][padded[k:k + order]] += 1
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    vocabulary = len(counts[1])
+    after = [None] + [defaultdict(dict) for _ in range(order)]
+    for n in range(1, order + 1):
+        for g, c in counts[n].items():
+            after[n][g[:-1]][g[-1]] = c
+
+    def discount(n, c):
+        return discounts[n][min(c, 3) - 1]
+
+    def p(context, char, n):
+        if n == 0:
+            return 1 / (vocabulary + 1)
+        seen = after[n].get(context[len(context) - n + 1:] if n > 1 else "")
+        if not seen:
+            return p(context, char, n - 1)
+        total = sum(seen.values())
+        c = seen.get(char, 0)
+        kept = sum(discount(n, x) for x in seen.values())
+        return ((c - discount(n, c)) if c else 0) / total + kept / total * p(context, char, n - 1)
+
+    return lambda text: [p(("\0" * (order - 1) + text)[k:k + order - 1], ch, order) for k, ch in enumerate(text)]
+
+
+@pytest.mark.parametrize("shard_rows", [10**6, 150])
+def test_perplexity_against_the_definition(spark, docs, monkeypatch, shard_rows):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcd é", k=rng.randint(1, 60))) for _ in range(40)]
+    discounts = {n: [0.4, 0.9, 1.3] for n in range(1, 6)}
+    monkeypatch.setattr(quality, "_discounts", lambda counts: [0.4, 0.9, 1.3])
+    model = quality.train(docs(*enumerate(texts)))
+    p = kneser_ney(texts, 5, discounts)
+    asked = texts[:5] + ["xyz", "abx dé", "d" * 500]
+    got = {r["doc_id"]: r["perplexity"] for r in quality.perplexity(docs(*enumerate(asked), (90, None), (91, "")), model, shard_rows=shard_rows).collect()}
+    for i, text in enumerate(asked):
+        own = p(text)
+        assert math.isclose(got[i], math.exp(-sum(map(math.log, own)) / len(own)), rel_tol=1e-9)
+    assert got[90] is None and got[91] is None
+
+
+def test_probabilities_sum_to_one():
+    p = kneser_ney(["abcab", "bca"], 5, {n: [0.4, 0.9, 1.3] for n in range(1, 6)})
+    assert math.isclose(sum(p("abca" + c)[-1] for c in "abc") + p("abcaz")[-1], 1, rel_tol=1e-9)
+
+
+def test_quality_rejects_junk_and_keeps_clean_documents(spark):
+    rows = queries.op3_quality_classifier(spark, SF)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = {(r["quality"], r["kept"]): r["count"] for r in rows.join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
+    assert rows.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert got.get((1, False), 0) <= 0.01 * got[1, True]
+    assert got.get((0, True), 0) <= 0.2 * got[0, False]
+
+
+def test_quality_without_trusted_documents(spark, docs):
+    labels = spark.createDataFrame([(1, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["kept"] for r in quality.classify(docs((1, "a b"), (2, None), (3, ""), (None, "x")), labels).collect()}
+    assert got == {1: True, 2: False, 3: False}
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["kept"] for r in quality.classify(docs((1, "a b"), (2, None), (3, "a b")), labels, keep=("text", "source")).collect()}
+    assert got == {1: True, 2: False, 3: True}
+    assert quality.classify(docs((1, "a")).limit(0), labels).count() == 0
+
+
+def test_language_accuracy_and_edge_rows(spark, docs):
+    df = queries.op9_language_id(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    rows = df.where("held_out").collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.97 * len(rows)
+    model = langid.train(docs((1, "der die das und"), (2, "nicht ein"), (5, None), lang="de").unionByName(
+        docs((3, "the of and is"), lang="en")).unionByName(docs((4, "zzz"), lang=None)))
+    assert model.languages == ["de", "en"]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(
+        docs((1, None), (2, ""), (3, "12 !?"), (4, "und"), (5, "the " * 9000), (6, "日本"), (6, "日本")), model).collect()}
+    assert [got[i] for i in (1, 2, 3)] == [("und", 0.0)] * 3
+    assert got[4][0] == "de" and got[5][0] == "en" and got[6][0] in ("de", "en") and all(0 <= s <= 1 for _, s in got.values())
+    empty = langid.train(docs((1, "a")).limit(0))
+    assert [r["lang_pred"] for r in langid.predict(docs((1, "abc")), empty).collect()] == ["und"]
+
+
+def test_language_counts_against_plain_ones(spark, docs):
+    """The model is the definition's: smoothed shares of hashed n-grams, each summed over all texts."""
+    texts = ["ab ab", "Ba!a"]
+    model = langid.train(docs(*enumerate(texts), lang="x"), smoothing=0.5)
+    grams = [(w, n) for t in texts for n in langid.GRAMS for w in
+             ["".join(c if c.isalpha() else " " for c in t.lower())[k:k + n] for k in range(len(t) - n + 1)]
+             if w.strip() and (n < 3 or w[1] != " ")]
+    total = len(grams)
+    import numpy as np
+
+    counts = np.exp(model.weights[:, 0].astype(float)) * (total + 0.5 * langid.BUCKETS) - 0.5
+    assert math.isclose(counts.sum(), total, rel_tol=1e-3)
+    assert Counter(np.rint(counts[counts > 0.4]).astype(int).tolist()) == Counter(Counter(grams).values())
+
+
+@pytest.mark.parametrize("text,words", [
+    ("1D10T!!", "idiot"), ("ѕtuріd", "stupid"), ("mör​on", "moron"), ("$cum", "scum"), ("tra5h 2024 15", "trash 2024 15"),
+    ("", ""), ("!!! ---", ""), ("cl0wn$", "clown"),
+])
+def test_folding(text, words):
+    assert toxicity.folded(text) == f" {words} "
+
+
+def test_toxicity_lexicon(spark, docs):
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in "klmnprt" for b in ("ana", "osi", "ule", "ite", "ade")]
+    rows = []
+    for i in range(900):
+        own = rng.choices(words, k=rng.randint(5, 60))
+        toxic = i % 6 == 0
+        if toxic:
+            own[rng.randrange(len(own))] = rng.choice(["badword", "vilix", "vilify", "vilo", "b4dword"])
+        elif i % 5 == 0:
+            own[2:2] = ["good", "badword"]  # only ever clean after "good"
+        rows.append((i, " ".join(own), int(toxic)))
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(known.where("doc_id % 5 <> 1"))
+    got = {r["doc_id"]: r for r in toxicity.score(known, model).collect()}
+    held = [(got[i]["predicted"], t) for i, _, t in rows if i % 5 == 1]
+    assert sum(p == t for p, t in held) >= 0.97 * len(held)
+    probe = {r["doc_id"]: r for r in toxicity.score(
+        docs((1, "kana BADW0RD losi"), (2, "kana good badword losi"), (3, None), (4, ""), (5, "vilixes"), (6, "x " * 20_000)), model).collect()}
+    assert [probe[i]["predicted"] for i in range(1, 7)] == [1, 0, 0, 0, 1, 0]
+    assert probe[3]["score"] == probe[4]["score"] == 0.0 and all(0 <= r["score"] <= 1 for r in probe.values())
+
+
+def test_toxicity_without_labels(spark, docs):
+    known = spark.createDataFrame([(1, "a", 0), (2, None, None)], "doc_id long, text string, toxic int")
+    got = toxicity.score(docs((1, "idiot"), (1, "idiot")), toxicity.train(known)).collect()
+    assert [(r["score"], r["predicted"]) for r in got] == [(0.0, 0)] * 2
+    assert toxicity.score(docs((1, "a")).limit(0), toxicity.train(known.limit(0))).count() == 0
+
+
+def test_blocks_of_a_page():
+    page = "<body><p>one\n two<br>three<p>four &amp; <b>fi</b>ve &eacute;<script>x<y</script><ul><li>six<li>seven</ul><style>p{}</style>eight"
+    assert [t for t, _ in blocks(page)] == ["one two three", "four & five é", "six", "seven", "eight"]
+    assert blocks(None) == blocks("") == blocks("<script>a") == []
