@@ -37,12 +37,12 @@ select o_orderkey id, case when o_orderkey%113=0 then null else o_custkey end pa
   case when o_orderkey%7=0 then null else 'CLOSED' end status2,
   case when o_orderkey%2=0 then 'CLOSED' else 'closed' end statusp,
   cast(case when o_orderstatus='O' then o_totalprice else 0 end as decimal(15,2)) outstanding1,
-  cast(null as decimal(15,2)) outstanding2, cast(o_orderkey%3 as decimal(15,2)) outstandingp,
+  cast(case when o_orderkey%4=0 then o_orderkey%11 end as decimal(15,2)) outstanding2, cast(o_orderkey%3 as decimal(15,2)) outstandingp,
   o_orderdate + interval '1' day * (o_orderkey%60) lastbilleddate1
 from {orders}""",
     "claims_transactions": """
 select concat(cast(l_orderkey as varchar(20)),'-',cast(l_linenumber as varchar(20))) id,
-  case when l_partkey%100=0 then null else l_orderkey end claimid, cast(null as bigint) patientid,
+  case when l_partkey%100=0 then null else l_orderkey end claimid, case when l_linenumber>3 then null else l_suppkey end patientid,
   case l_returnflag when 'A' then 'CHARGE' when 'N' then ' payment' else 'TransferOut' end type,
   cast(case when l_suppkey%40=0 then -l_extendedprice else l_extendedprice end as decimal(15,2)) amount,
   case when l_linestatus='F' then ' echeck ' else null end method, l_shipdate fromdate,
@@ -62,8 +62,8 @@ select event_id id, user_id patient, case when event_id%50=0 then null else even
   props code, event_type description,
   cast(date '1995-01-01' + interval '1' day * (event_id*7%2400) as date) start,
   case when event_id%3=0 then null else date '2002-01-01' end stop,
-  cast(null as varchar(10)) reasoncode, event_type reasondescription
-from {events} where event_type='signup'""",
+  case when event_id%3=0 then event_type end reasoncode, event_type reasondescription
+from {events}""",
 }
 
 # Columns that reference another source table, among those the adapters have.

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harness import stored
 from harness.adapters import REFERENCES, source
 from lamina.operators import quality
 from lamina.operators.integrity import duplicate_summary, orphan_summary
@@ -230,6 +231,13 @@ def _registry() -> dict[str, Callable[[Flow], DataFrame]]:
         "check_pass_rates": lambda f: checks.pass_rates(f.all_of(f.silver)),
         "check_dq_log": lambda f: checks.log_status(f.log()),
         "check_gold": _gold_checks,
+        "stored_revenue_cycle": lambda f: stored.revenue_cycle(f, AS_OF),
+        "stored_readmission": lambda f: stored.readmission(f, AS_OF),
+        "stored_second_load": lambda f: stored.second_load(f, AS_OF),
+        "stored_log_of_two_runs": lambda f: stored.log_of_two_runs(f, AS_OF),
+        "raw_populated": lambda f: stored.raw_populated(f, AS_OF),
+        "keys_after_new_payer": lambda f: stored.keys_after_new_payer(f, AS_OF),
+        "refresh_twice": lambda f: stored.refresh_twice(f, AS_OF),
         "csv_roundtrip": _csv_transactions,
         "csv_roundtrip_text": _csv_texts,
     }
