@@ -1,6 +1,6 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training counts the n-grams of all labelled rows, summed up for each slice of text
+Training counts the n-grams of all labelled rows, summed up in each task
 before the shuffle. The model is a matrix of log-probabilities, `BUCKETS` rows and a
 column for each language, so its size is bounded by that; it is broadcast, and
 documents are scored in numpy from the sparse counts of their n-grams.
@@ -79,28 +79,36 @@ class Model:
 
 def train(labelled: DataFrame, smoothing: float = 0.1) -> Model:
     """Fit on `text`, `lang`; rows without a language are left out, null texts count for the prior only."""
+    def rows(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for name, counts in sums.items():
+            there = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([name] * len(there), pa.string()), pa.array((there - 1).astype(np.int32)),
+                pa.array(counts[there])], ["lang", "bucket", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _lowered()
+        table, sums = _lowered(), {}
         for batch in batches:
             for part in slices(batch.column("text")):
                 langs = batch.column("lang").slice(part.first, len(part)).dictionary_encode()
                 code = langs.indices.to_numpy()
                 bucket, row = _buckets(*_points(part), table)
                 for k, name in enumerate(langs.dictionary.to_pylist()):
-                    counts = np.bincount(bucket[code[row] == k], minlength=BUCKETS)
-                    there = np.flatnonzero(counts)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([name] * (len(there) + 1), pa.string()),
-                        pa.array(np.append(there, -1).astype(np.int32)),
-                        pa.array(np.append(counts[there], (code == k).sum()).astype(np.int64))], ["lang", "bucket", "n"])
+                    own = sums.setdefault(name, np.zeros(BUCKETS + 1, np.int64))  # place 0: documents
+                    own[1:] += np.bincount(bucket[code[row] == k], minlength=BUCKETS)
+                    own[0] += int((code == k).sum())
+                if len(sums) > 64:
+                    yield from rows(sums)
+                    sums = {}
+        yield from rows(sums)
 
     known = labelled.where("lang is not null").select("lang", "text")
     summed = known.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    rows = summed.toArrow().to_pandas()  # BUCKETS + 1 rows a language at most
-    languages = sorted(rows["lang"].unique().tolist())
+    found = summed.toArrow().to_pandas()  # BUCKETS + 1 rows a language at most
+    languages = sorted(found["lang"].unique().tolist())
     counts, prior = np.zeros((BUCKETS, len(languages))), np.zeros(len(languages))
     for k, name in enumerate(languages):
-        own = rows[rows["lang"] == name]
+        own = found[found["lang"] == name]
         grams = own[own["bucket"] >= 0]
         counts[grams["bucket"], k] = grams["n"]
         prior[k] = own[own["bucket"] < 0]["n"].sum()

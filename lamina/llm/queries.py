@@ -73,9 +73,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where("doc_id is not null").withColumn("held_out", _fold(5) == 0)
-    labels = (table(spark, sf_dir, "labels").where("doc_id is not null and toxic is not null")
-              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    known = docs.where("not held_out").select("doc_id", "text").join(labels, "doc_id")
+    known = toxicity.labelled(docs.where("not held_out"), table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, toxicity.train(known), ("doc_id", "held_out"))
     return scored.select("doc_id", "held_out", "score", "predicted", "measure", "n_words")
 

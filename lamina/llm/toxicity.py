@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.llm.store import saved
+
 #: Fixed: letters of other scripts that look like Latin ones.
 HOMOGLYPHS = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ғ": "f", "ɡ": "g", "һ": "h", "і": "i", "ј": "j",
@@ -159,24 +161,33 @@ def _pairs(terms):
     return run
 
 
-def train(labelled: DataFrame, rows: int = 200_000, support: int = 3, odds: float = 8.0,
-          evidence: float = 24.0) -> Model:
+def labelled(docs: DataFrame, labels: DataFrame, rows: int = 200_000) -> DataFrame:
+    """`doc_id`, `text`, `toxic` of about `rows` labelled documents at most, chosen by a hash of doc_id.
+
+    The chosen labels (16 bytes a row) are bounded by `rows`, so they are broadcast and no text is shuffled.
+    Of several labels of a document the larger counts.
+    """
+    known = (labels.where("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+             .agg(F.max("toxic").cast("long").alias("toxic")))
+    total = known.count()
+    if total > rows:
+        known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(1_000_000 * rows / total))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
+
+
+def train(labelled: DataFrame, support: int = 3, odds: float = 8.0, evidence: float = 24.0) -> Model:
     """Fit on `doc_id`, `text`, `toxic` (0 or 1; other labels are left out).
 
-    At most about `rows` labelled rows are used, chosen by a hash of doc_id; a quarter of them is
+    The rows are written once to the shared folder. A quarter of them, by a hash of doc_id, is
     kept from the lexicon to set the threshold. A term needs `support` toxic documents (and one
     in a thousand), `odds` times its share among clean ones, and `evidence` in a likelihood ratio
     test, so that rare words don't get in by chance.
     """
     spark = labelled.sparkSession
-    known = labelled.where("toxic in (0, 1)").select("doc_id", "text", F.col("toxic").cast("long").alias("toxic"))
+    known = saved(labelled.where("toxic in (0, 1)").select("doc_id", "text", F.col("toxic").cast("long").alias("toxic")))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    total = sum(sizes.values())
     if not sizes.get(1):
         return Model()
-    if total > rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(1_000_000 * rows / total))
-    known = known.repartition(spark.sparkContext.defaultParallelism * 2)
     spare = F.pmod(F.xxhash64("doc_id", F.lit("spare")), F.lit(4)) == 0
     everything, held, known = known, known.where(spare), known.where(~spare)
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
