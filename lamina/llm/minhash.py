@@ -10,12 +10,11 @@ non-empty one in a random order of its own (optimal densification). `BANDS`
 bands of bins are bucket keys; two sets of similarity 0.8 miss each other in all
 of them with a probability below 1e-7.
 
-In a bucket the smallest document is the centre of a star: n - 1 candidate
+In a bucket the member that meets most others is the centre of a star: n - 1 candidate
 edges, not n(n-1)/2. Candidates are confirmed on full sets. A star alone would
-lose a link between two members that the centre isn't linked with. So buckets
-whose members still belong to several components go through further rounds, with
-twice as many centres each and edges between components only, until every
-bucket is one component or all its members have been centres.
+lose a link between two members that the centre isn't linked with. So in buckets
+whose members still belong to several components, members outside the largest one
+are compared with all, in blocks of bounded size; only links are returned.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.components import components
@@ -33,6 +32,7 @@ from lamina.llm.store import documents, saved
 from lamina.llm.texts import Rolling, Slice, lists, mix, slices, word_bounds, word_codes
 
 BINS, BANDS = 128, 32
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 15  # about the most members, and shingles, of a block
 
 
 def shingle_sets(part: Slice, words: int) -> list[np.ndarray]:
@@ -166,30 +166,73 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def _star_links(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Confirmed edges that join all that similar members of shared buckets can reach; their components."""
-    centre = members.groupBy("key").agg(F.min(F.struct("doc_id", "rep"))["rep"].alias("a"))
+    # The member that meets most others is the likeliest to be like all of them.
+    weight = members.groupBy("rep").agg(F.sum("n").alias("weight"))
+    centre = members.join(weight, "rep").groupBy("key").agg(F.max_by("rep", F.struct("weight", "rep")).alias("a"))
     edges = (members.join(centre, "key").where("rep <> a")
              .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct())
-    tried = saved(edges)
-    links = saved(_confirmed(tried, sets, percent))
-    done, more = 1, 1
-    open_buckets = members.where("n > 2")
-    while True:
-        # Buckets in which a member is left that has been no centre, and more than one component.
-        label = components(links).withColumnRenamed("node", "rep")
-        placed = open_buckets.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                          F.count("*").alias("left")).where(f"c0 <> c1 and left > {done}")
-        ranked = saved(placed.join(mixed.select("key"), "key").withColumn(
-            "rank", F.row_number().over(Window.partitionBy("key").orderBy("doc_id", "rep"))))
-        if ranked.isEmpty():
-            return links, label
-        centres = ranked.where(f"rank > {done} and rank <= {done + more}").select(
-            "key", F.col("rep").alias("a"), F.col("rank").alias("at"), F.col("component").alias("ca"))
-        fresh = (ranked.join(centres, "key").where("rank > at and component <> ca")
-                 .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-                 .join(tried, ["a", "b"], "left_anti"))
-        fresh = saved(fresh)
-        links = saved(links.unionByName(_confirmed(fresh, sets, percent)))
-        tried = tried.unionByName(fresh)
-        open_buckets = ranked.select("key", "doc_id", "rep", "n")
-        done, more = done + more, 2 * more
+    links = saved(_confirmed(edges, sets, percent))
+    label = components(links).withColumnRenamed("node", "rep")
+    # What the stars left open: buckets of more than one component in which a pair was not compared.
+    placed = (members.where("n > 2").select("key", "rep").join(label, "rep", "left")
+              .withColumn("component", F.coalesce("component", "rep")))
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
+    mixed = (sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("size").alias("n"),
+                                      F.max_by("component", F.struct("size", "component")).alias("main"))
+             .where("parts > 1"))
+    rest = saved(placed.join(mixed, "key"))
+    if rest.isEmpty():
+        return links, label
+    more = saved(_compared(rest, sets, percent))
+    if more.isEmpty():
+        return links, label
+    links = links.unionByName(more)
+    return links, components(links).withColumnRenamed("node", "rep")
+
+
+def _compared(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components of mixed buckets: each member outside a bucket's main component against all.
+
+    Members meet in blocks of bounded size. A task compares two blocks by a product of
+    incidence matrices and returns one link for a member and a component, not all pairs.
+    """
+    own = rest.join(sets, "rep")
+    blocks = own.groupBy("key").agg(F.greatest(
+        F.ceil(F.count("*") / F.lit(BLOCK_ROWS)), F.ceil(F.sum(F.size("shingles")) / F.lit(BLOCK_SHINGLES))).alias("blocks"))
+    dealt = own.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+    row = F.struct("rep", "component", "shingles")
+    members = dealt.groupBy("key", "block").agg(F.collect_list(row).alias("members"))
+    asking = (dealt.where("component <> main").groupBy("key", "block").agg(F.collect_list(row).alias("asking"))
+              .drop("block"))
+    return members.join(asking, "key").select("members", "asking").mapInArrow(
+        _matched(percent), "a long, b long").distinct()
+
+
+def _incidence(sizes: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(sizes), width), np.float32)
+    out[np.repeat(np.arange(len(sizes)), sizes), places] = 1
+    return out
+
+
+def _matched(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sides = []
+                for name in ("asking", "members"):
+                    rows = batch.column(name)[i].values
+                    sets = rows.field("shingles")
+                    sides.append((rows.field("rep").to_numpy(), rows.field("component").to_numpy(),
+                                  np.diff(sets.offsets.to_numpy()), sets.flatten().to_numpy()))
+                known, places = np.unique(np.concatenate([s[3] for s in sides]), return_inverse=True)
+                (q, qc, qn, qs), (m, mc, mn, _) = sides
+                both = _incidence(qn, places[: len(qs)], len(known)) @ _incidence(mn, places[len(qs):], len(known)).T
+                both = np.rint(both).astype(np.int64)
+                alike = 100 * both >= percent * (qn[:, None] + mn[None, :] - both)
+                x, y = np.nonzero(alike & (qc[:, None] != mc[None, :]))
+                # One link of a member with a component joins them as well as all.
+                _, first = np.unique(np.stack([q[x], mc[y]]), axis=1, return_index=True)
+                a, b = q[x[first]], m[y[first]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+    return run
