@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +40,10 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 PREFIXES = range(4, 9)
 MAX_TERMS = 20_000  # of the lexicon and of the exceptions: the broadcast model is bounded by this
 
-_SUBSTITUTE = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])|(?<![^\W_])[013457@$]+(?=[^\W\d_]{2})")
+_SUBSTITUTE = re.compile(
+    r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])"  # between letters
+    r"|(?<![\w@$])[013457@$]+(?=[^\W\d_][\w@$!|]*[^\W\d_])")  # before the first of several
 _WORD = re.compile(r"[^\W_]+")
-_REPEATS = re.compile(r"(.)\1{2,}")
 
 
 class _Table(dict):
