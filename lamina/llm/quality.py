@@ -7,7 +7,7 @@ continuation counts, contexts, and the discounts from the counts of counts.
 
 Scoring. The probabilities and back-off weights of all orders are one table of (key, log value).
 It is cut into shards by an n-gram's last but one character, so that all a character's
-probability needs stands in one shard, each of at most `SHARD_ROWS` rows. Every
+probability needs stands in one shard; a shard has at most `SHARD_ROWS` rows, or one such character. Every
 shard is joined with all documents in turn (one broadcast of bounded size each, looked up in
 numpy), giving partial sums for each document, which are added up. The number of
 shards follows from the size of the model, which characters bound; it doesn't grow with
@@ -109,10 +109,22 @@ def train(trusted: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
-def _row_shard(shards: int):
-    """Shard of a table's row: by the last but one character of its n-grams, order 1 in all of them (-1)."""
-    before = F.when(F.col("order") > 8, F.col("key")).otherwise(F.shiftright("key", BITS)).bitwiseAND(_MASK)
-    return F.when(F.col("order").isin(1, 9), -1).otherwise(F.pmod(F.xxhash64(before), F.lit(shards)))
+def _before():
+    """The last but one character of a table row's n-grams."""
+    return F.when(F.col("order") > 8, F.col("key")).otherwise(F.shiftright("key", BITS)).bitwiseAND(_MASK)
+
+
+def _shards(model: DataFrame, most: int) -> list[list[int]]:
+    """Characters dealt to shards of at most `most` rows, or of one character."""
+    sizes = model.where("order not in (1, 9)").groupBy(_before().alias("c")).count().collect()  # 4,096 rows at most
+    out, room = [], 0
+    for row in sorted(sizes, key=lambda r: (-r["count"], r["c"])):
+        if row["count"] > room:
+            out.append([])
+            room = most
+        out[-1].append(row["c"])
+        room -= row["count"]
+    return out or [[]]
 
 
 class _Table:
@@ -156,7 +168,7 @@ def _scored(shared, shards: int, columns: tuple[str, ...]):
                 if shards > 1:
                     own = mine[(key >> BITS) & _MASK]
                     key, row = key[own], row[own]
-                sums = np.bincount(row, table.log_probability(key), minlength=len(part))
+                sums = np.bincount(row, table.log_probability(key), minlength=len(part)).astype(np.float64)
                 out = [batch.column(c).slice(part.first, len(part)) for c in columns]
                 yield pa.RecordBatch.from_arrays(
                     [*out, pa.array(sums), pa.array(np.bincount(row, minlength=len(part)).astype(np.int64))],
@@ -171,31 +183,28 @@ def perplexity(docs: DataFrame, model: DataFrame, columns: tuple[str, ...] = ("d
     With several shards, rows that agree in all `columns` are added up into one.
     """
     spark = docs.sparkSession
-    rows = model.count()
-    shards = 1
-    while True:  # the last but one character decides, so shards may be uneven: more of them until all fit
-        model_sharded = model.withColumn("shard", _row_shard(shards))
-        largest = model_sharded.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
-        if largest <= shard_rows or shards >= 1 << BITS:
-            break
-        shards *= 2
     vocabulary = model.where("order = 1").count()
+    shards = _shards(model, shard_rows) if vocabulary else []
     uniform = -float(np.log(vocabulary + 1.0))
-    where = {r["c"]: r["s"] for r in spark.range(1 << BITS).select(
-        F.col("id").alias("c"), F.pmod(F.xxhash64(F.col("id")), F.lit(shards)).alias("s")).collect()}
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", log_p double, n long"
     parts = []
-    for number in range(shards if rows else 0):
-        own = model_sharded.where(F.col("shard").isin(-1, number)).select("order", "key", "value").toPandas()
-        mine = np.array([where[c] == number for c in range(1 << BITS)])
+    for number, characters in enumerate(shards):
+        own = (model.where(F.col("order").isin(1, 9) | _before().isin(characters) if len(shards) > 1 else F.lit(True))
+               .selectExpr("cast(order as tinyint) as order", "key", "value").toArrow())
+        # Characters that stand before nothing known fall to the first shard.
+        mine = np.zeros(1 << BITS, bool)
+        mine[characters] = True
+        if number == 0:
+            mine |= ~np.isin(np.arange(1 << BITS), [c for s in shards for c in s])
         shared = spark.sparkContext.broadcast((
-            own["order"].to_numpy(np.int64), own["key"].to_numpy(np.int64), own["value"].to_numpy(np.float64), uniform, mine))
-        parts.append(docs.select(*dict.fromkeys((*columns, "text"))).mapInArrow(_scored(shared, shards, columns), schema))
+            own["order"].to_numpy(), own["key"].to_numpy(), own["value"].to_numpy(), uniform, mine))
+        del own
+        parts.append(docs.select(*dict.fromkeys((*columns, "text"))).mapInArrow(_scored(shared, len(shards), columns), schema))
     if not parts:
         return docs.select(*columns, F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("perplexity"))
     summed = parts[0]
-    if shards > 1:
+    if len(shards) > 1:
         summed = (reduce(DataFrame.unionByName, parts).groupBy(*columns)
                   .agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n")))
     return summed.select(*columns, "n", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity"))
