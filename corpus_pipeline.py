@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import decontam, minhash, packing, quality, substring
 from lamina.llm.queries import table, tokenizer_file
-from lamina.llm.store import saved
+from lamina.llm.store import BROADCAST_IDS, saved, small
 
 #: Columns of `documents`, which all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -29,7 +29,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The document with the smallest doc_id of each group of near duplicates (five-word shingles, 0.8)."""
     groups = minhash.near_duplicates(docs, words=5, percent=80)
     gone = groups.where("not kept").select("doc_id")
-    return _documents(docs.join(gone, "doc_id", "left_anti"))
+    return _documents(docs.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti"))
 
 
 def cut_recurring_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,8 @@ def cut_recurring_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark items make up less than one word in twenty."""
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), window=13)
-    return _documents(docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti"))
+    gone = found.where("contaminated").select("doc_id")
+    return _documents(docs.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

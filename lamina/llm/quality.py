@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.store import saved
+from lamina.llm.store import BROADCAST_IDS, saved, small
 from lamina.llm.texts import HashIndex, Slice, slices
 
 ORDER = 5
@@ -210,12 +210,6 @@ def perplexity(docs: DataFrame, model: DataFrame, columns: tuple[str, ...] = ("d
     return summed.select(*columns, "n", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity"))
 
 
-def _small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Broadcast up to that many rows (a few bytes each); beyond, the join shuffles."""
-    df = saved(df)
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.05,
              prior: float = 50.0, keep: tuple[str, ...] = ()) -> DataFrame:
     """`doc_id`, `lang`, `keep`, `perplexity`, `measure`, `threshold`, `kept` for every document.
@@ -236,6 +230,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin
     columns = tuple(dict.fromkeys(("doc_id", "lang", *keep)))
     good = (labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
             .agg(F.max("quality").alias("quality")).where("quality = 1").select("doc_id"))
+    good = small(good, BROADCAST_IDS)  # else texts would be shuffled to their labels
     trusted = docs.join(good, "doc_id", "left_semi")
     if trusted.where("text <> ''").isEmpty():
         return docs.select(*columns, *(F.lit(None).cast("double").alias(c) for c in ("perplexity", "measure", "threshold")),
@@ -250,7 +245,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin
 
     def by_language(frame: DataFrame, column: str, share: float) -> tuple[DataFrame, float]:
         value = F.percentile_approx(column, share, 100_000)
-        return (_small(frame.where("lang is not null").groupBy("lang").agg(value.alias("own"))),
+        return (small(frame.where("lang is not null").groupBy("lang").agg(value.alias("own")), 100_000),
                 frame.agg(value.alias("all")).first()["all"])
 
     middle, of_all = by_language(measured, "perplexity", 0.5)

@@ -29,6 +29,16 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Written and counted; broadcast up to `rows` rows, and joined by a shuffle beyond."""
+    df = saved(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+#: Ids (16 bytes each in a hash table) that are sent to every executor at most.
+BROADCAST_IDS = 4_000_000
+
+
 def documents(df: DataFrame, *more: str) -> DataFrame:
     """`row_key`, `doc_id`, `text` of a documents table, extra columns left out.
 
