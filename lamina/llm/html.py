@@ -188,7 +188,7 @@ class Field:
         return states[::-1]
 
 
-def fit(pages: list[tuple[list[tuple[str, ...]], list[int]]], rounds: int = 12, rate: float = 0.4, decay: float = 2e-3) -> Field:
+def fit(pages: list[tuple[list[tuple[str, ...]], list[int]]], rounds: int = 25, rate: float = 0.6, decay: float = 2e-3) -> Field:
     """Gradient ascent (AdaGrad) on the conditional log-likelihood of labelled block sequences."""
     names = sorted({n for page, _ in pages for features in page for n in features})
     number = {n: i for i, n in enumerate(names)}
@@ -241,6 +241,7 @@ OUTSIDE = (
     "promotion sponsor sponsored cookie cookies consent gdpr notice alert popup modal overlay hidden comment comments respond discussion replies "
     "disqus feedback footer foot copyright legal disclaimer header masthead topbar logo share sharing social follow related recommended trending "
     "popular more newsletter subscribe signup login register search form meta byline tags author bio skip utility toolbar tracking").split()
+_MARK = "outside"  # on a made page's container; no feature
 _OUTER = ("nav", "aside", "footer", "header", "form")
 
 
@@ -248,26 +249,25 @@ def _made_pages() -> list[tuple[list[tuple[str, ...]], list[int]]]:
     """Small labelled pages: an article, and around or inside it a container of each name."""
     long = "Words of a sentence that goes on for a while, with a comma or two, and then comes to its end. "
     out = []
-    for k, name in enumerate([*OUTSIDE, *(f"<{t}>" for t in _OUTER)] * 2):
+    names = [*OUTSIDE, *(f"<{t}>" for t in _OUTER)]
+    for k, (name, kind_of_text) in enumerate((n, j) for n in names for j in (0, 1, 2, 3, 0)):  # each with every kind of text
         opened = INSIDE[(k * 7 + k // len(INSIDE)) % len(INSIDE)]
         tag = opened[1:].split()[0].rstrip(">")
-        other = name if name[0] == "<" else f'<div class="{name}">' if k % 3 else f'<section id="{name}-{k}">'
+        other = (f'{name[:-1]} class="{_MARK}">' if name[0] == "<" else
+                 f'<div class="{name} {_MARK}">' if k % 3 else f'<section id="{name}-{k}" class="{_MARK}">')
         kind = other[1:].split()[0].rstrip(">")
         inner = [f"<p>{long * (1 + k % 3)}</p>", f"<ul><li><a href='#'>{long[:8]}</a></li><li><a href='#'>{long[:12]}</a></li></ul>",
-                 f"{long[: 20 + k % 40]}", f"<p>{long[:30]}</p><p>{long}</p>"][k % 4]
-        box = f"{other}\x01{inner}\x02</{kind}>"
+                 f"{long[: 20 + k % 40]}", f"<p>{long[:30]}</p><p>{long}</p>"][kind_of_text]
+        box = f"{other}{inner}</{kind}>"
         body = f"<h1>{long[: 20 + k % 30]}</h1>" + "".join(f"<p>{long * (1 + (k + j) % 4)}</p>" for j in range(1 + k % 4)) + (
             f"<ul><li>{long}</li></ul>" if k % 5 == 0 else "") + (f"<p>{long[:9]}</p>" if k % 6 == 1 else "")
         page = [f"{box}{opened}{body}</{tag}>", f"{opened}{body}</{tag}>{box}", f"{opened}{body}{box}</{tag}>",
-                f"{opened}{box}{body}</{tag}>"][k % 4]
+                f"{opened}{box}{body}</{tag}>"][(k // 3) % 4]
         if k % 7 == 3:
             page = f"<nav><ul><li><a href='#'>{long[:6]}</a></li></ul></nav>{page}<footer>&copy; {long[:30]}</footer>"
-        found, states, outside = blocks(f"<html><body>{page}</body></html>"), [], False
-        for text, features in found:
-            outside |= "\x01" in text
-            states.append(0 if outside or "in:nav" in features or "in:footer" in features else 1)
-            outside &= "\x02" not in text
-        out.append(([f for _, f in found], states))
+        found = [set(f) for _, f in blocks(f"<html><body>{page}</body></html>")]
+        states = [int(not f & {f"name:{_MARK}", "in:nav", "in:footer"}) for f in found]
+        out.append(([tuple(sorted(f - {f"name:{_MARK}"})) for f in found], states))
     return out
 
 

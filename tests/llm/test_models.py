@@ -131,7 +131,7 @@ def test_toxicity_lexicon(spark, docs):
         toxic = i % 6 == 0
         if toxic:
             own[rng.randrange(len(own))] = rng.choice(["badword", "vilix", "vilify", "vilo", "b4dword"])
-        elif i % 5 == 0:
+        elif i % 31 == 0:
             own[2:2] = ["good", "badword"]  # only ever clean after "good"
         rows.append((i, " ".join(own), int(toxic)))
     known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
