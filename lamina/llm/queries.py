@@ -90,4 +90,36 @@ QUERIES: dict[str, Query] = {
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}
+_OP4_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 34], ' ') as g from d, unnest(range(1, len(w) - 33)) t(i)),
+twice as (select g from win group by g having count(*) > 1),
+gone as (select distinct doc_id, p from (select doc_id, unnest(range(i, i + 35)) as p from win semi join twice using (g))),
+kept as (select doc_id, p, w[p] as word from d, unnest(range(1, len(w) + 1)) t(p)),
+texts as (select doc_id, count(*) as n, string_agg(word, ' ' order by p) as text
+  from kept anti join gone using (doc_id, p) group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(texts.text, '')) as kept_sha256
+from d left join texts using (doc_id)"""
+
+_OP8_SQL = r"""
+with lowered as (select 0 as kind, doc_id as id, text from documents union all select 1, item_id, text from benchmark),
+words as (select kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from lowered),
+win as (select distinct id as item, least(13, len(w)) as n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') as g
+  from words, unnest(range(1, greatest(1, len(w) - 12) + 1)) t(i) where kind = 1 and len(w) > 0),
+docs as (select id as doc_id, w from words where kind = 0),
+seen as (select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as g
+  from docs, (select distinct n from win) lengths, unnest(range(1, len(w) - n + 2)) t(i)),
+hits as (select doc_id, i, n, item from seen join win using (n, g)),
+covered as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
+items as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
+  from (select distinct doc_id, cast(item as varchar) as item from hits) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit > 0 and 20 * n_hit >= len(w), false) as contaminated
+from docs left join covered using (doc_id) left join items using (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_substring_dedup": _OP4_SQL,
+    "op8_benchmark_decontamination": _OP8_SQL,
+}
