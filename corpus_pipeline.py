@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import decontam, minhash, packing, quality, substring
 from lamina.llm.queries import table, tokenizer_file
-from lamina.llm.store import BROADCAST_IDS, saved, small
+from lamina.llm.store import BROADCAST_IDS, documents, saved, small
 
 #: Columns of `documents`, which all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,10 +26,19 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates (five-word shingles, 0.8)."""
-    groups = minhash.near_duplicates(docs, words=5, percent=80)
-    gone = groups.where("not kept").select("doc_id")
-    return _documents(docs.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti"))
+    """One row of each group of near duplicates (five-word shingles, 0.8), that of its smallest doc_id.
+
+    Rows are told apart by row_key, so a row that shares its doc_id with a duplicate stays. Of rows
+    repeated whole one stays; only their texts are shuffled.
+    """
+    groups = saved(minhash.near_duplicates(docs, words=5, percent=80, with_keys=True).select("row_key", "first_key"))
+    gone = small(groups.where("row_key <> first_key").select("row_key").distinct(), BROADCAST_IDS)
+    twice = small(groups.where("row_key = first_key").groupBy("row_key").agg(F.count("*").alias("n"))
+                  .where("n > 1").select("row_key"), BROADCAST_IDS)
+    keyed = documents(docs, *(c for c in COLUMNS if c not in ("doc_id", "text"))).join(gone, "row_key", "left_anti")
+    single = keyed.join(twice, "row_key", "left_anti")
+    first = keyed.join(twice, "row_key", "left_semi").groupBy("row_key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return _documents(single).unionByName(first.select("row.*"))
 
 
 def cut_recurring_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

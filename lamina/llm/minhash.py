@@ -116,9 +116,12 @@ def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sizes.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, with_keys: bool = False) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id`, `n_links`, `kept` for every document.
 
+    `with_keys` adds `row_key` (of `documents`) and `first_key`: the row key of the one row that stands
+    for the component, that of its smallest doc_id and, among rows of this doc_id, the smallest.
+
     Two documents are linked if the sizes of the intersection and the union of
     their sets have `100 * both >= percent * either`; component_id is the smallest
     doc_id that links reach. `n_links` counts the confirmed star edges and the
@@ -147,20 +150,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links, label = _star_links(members, sets, percent)
     ids = members.select("rep", "doc_id").distinct()
     labelled = label.join(ids, "rep")
-    lowest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    lowest = labelled.groupBy("component").agg(F.min(F.struct("doc_id", F.col("rep").alias("row_key"))).alias("lowest"))
     degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
               .groupBy("rep").agg(F.count("*").alias("stars")))
-    tied = labelled.join(lowest, "component").join(degree, "rep").select("rep", "component_id", "stars")
+    tied = labelled.join(lowest, "component").join(degree, "rep").select("rep", "lowest", "stars")
 
     # Only classes with a link or a copy differ from the document itself.
-    moved = (classes.select("print", "n_shingles", F.col("least.doc_id").alias("own"),
+    moved = (classes.select("print", "n_shingles", F.col("least").alias("own"),
                             F.col("least.row_key").alias("rep"), "copies")
              .join(tied, "rep", "left").where("stars is not null or copies > 1")
-             .select("print", "n_shingles", F.least("own", F.coalesce("component_id", "own")).alias("component_id"),
+             .select("print", "n_shingles", F.least("own", F.coalesce("lowest", "own")).alias("lowest"),
                      (F.coalesce("stars", F.lit(0)) + F.when(F.col("copies") > 1, 1).otherwise(0)).alias("n_links")))
     return (signed.join(moved, ["print", "n_shingles"], "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce(F.col("n_links"), F.lit(0)).cast("long").alias("n_links"))
+            .select("doc_id", "n_shingles", F.coalesce("lowest.doc_id", "doc_id").alias("component_id"),
+                    F.coalesce(F.col("n_links"), F.lit(0)).cast("long").alias("n_links"),
+                    *([F.col("row_key"), F.coalesce("lowest.row_key", "row_key").alias("first_key")] if with_keys else []))
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
 
 

@@ -78,3 +78,35 @@ def test_stages(spark, texts, items):
     assert {r["doc_id"] for r in rows} == ids and all(r["offset"] + r["length"] <= 1024 for r in rows)
     whole = {tuple(r) for r in corpus_pipeline.run(spark, SF).drop("sequence_id", "offset").collect()}
     assert whole == {tuple(r)[:5] for r in rows}
+
+
+def test_repeated_rows_come_out_once(spark, tmp_path):
+    """A clean row given twice stays once; a text that shares its doc_id with a duplicate stays, too."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clean, other = (" ".join(f"{a}{k}" for k in range(50)) for a in ("river", "stone"))
+    rows = [(10**9, clean), (10**9, clean), (10**9 + 1, other), (10**9 + 2, other), (10**9 + 2, clean.replace("river", "cloud")),
+            (10**9 + 3, None), (10**9 + 3, None)]
+    more = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    more = more.select(*[more[c].cast(k) for c, k in docs.dtypes])
+    once = corpus_pipeline.keep_one_of_each(spark, more, SF)
+    assert once.columns == docs.columns and once.dtypes == docs.dtypes
+    want = [rows[0], rows[2], rows[4], rows[5]]
+    assert sorted((r["doc_id"], r["text"] or "") for r in once.collect()) == sorted((i, t or "") for i, t in want)
+    left = corpus_pipeline.cut_recurring_passages(spark, once, SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == sorted(want[:3])
+
+
+def test_pipeline_keeps_a_document_given_twice(spark, texts, tmp_path):
+    long = {i for i, t in texts if t and len(t.split()) >= 50}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = corpus_pipeline.run(spark, SF).collect()
+    chosen = min(r["doc_id"] for r in whole if r["doc_id"] in long)
+    docs.unionByName(docs.where(docs["doc_id"] == chosen)).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+
+    def pieces(rows):
+        return sorted((r["piece"], r["length"], r["ids_crc32"]) for r in rows if r["doc_id"] == chosen)
+
+    assert pieces(corpus_pipeline.run(spark, str(tmp_path)).collect()) == pieces(whole) != []
