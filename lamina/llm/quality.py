@@ -9,7 +9,7 @@ Scoring. The probabilities and back-off weights of all orders are one table of (
 It is cut into shards by an n-gram's last but one character, so that all a character's
 probability needs stands in one shard; a shard has at most `SHARD_ROWS` rows, or one such character. Every
 shard is joined with all documents in turn (one broadcast of bounded size each, looked up in
-numpy), giving partial sums for each document, which are added up. The number of
+numpy), giving partial sums for each row, which are added up. The number of
 shards follows from the size of the model, which characters bound; it doesn't grow with
 the scored documents.
 
@@ -32,6 +32,7 @@ from lamina.llm.texts import HashIndex, Slice, slices
 ORDER = 5
 BITS = 12
 SHARD_ROWS = 4_000_000
+BROADCAST_SUMS = BROADCAST_IDS // 4  # rows of two keys and two sums
 _MASK = (1 << BITS) - 1
 _PLAIN = 3500  # code points above share what is left of the 12 bits
 
@@ -180,14 +181,23 @@ def perplexity(docs: DataFrame, model: DataFrame, columns: tuple[str, ...] = ("d
                shard_rows: int = SHARD_ROWS) -> DataFrame:
     """`columns`, `n` (characters) and `perplexity` for each character of the whole text (null: none).
 
-    With several shards, rows that agree in all `columns` are added up into one.
+    Every row is returned, repeated ones too, whatever the number of shards. With several,
+    partial sums are added up by document and text, and joined back to the rows.
     """
     spark = docs.sparkSession
     vocabulary = model.where("order = 1").count()
     shards = _shards(model, shard_rows) if vocabulary else []
+    if not shards:
+        return docs.select(*columns, F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("perplexity"))
     uniform = -float(np.log(vocabulary + 1.0))
-    kinds = dict(docs.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", log_p double, n long"
+    asked, names = docs.select(*dict.fromkeys((*columns, "text"))), columns
+    if len(shards) > 1:
+        # Two hashes of document and text: copies of a row share them, and have equal sums.
+        keyed = docs.select("*", F.xxhash64("doc_id", "text").alias("_key"), F.xxhash64("text", "doc_id").alias("_key2"))
+        names = ("_key", "_key2")
+        asked = keyed.select(*names, "text")
+    kinds = dict(asked.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", log_p double, n long"
     parts = []
     for number, characters in enumerate(shards):
         own = (model.where(F.col("order").isin(1, 9) | _before().isin(characters) if len(shards) > 1 else F.lit(True))
@@ -200,13 +210,14 @@ def perplexity(docs: DataFrame, model: DataFrame, columns: tuple[str, ...] = ("d
         shared = spark.sparkContext.broadcast((
             own["order"].to_numpy(), own["key"].to_numpy(), own["value"].to_numpy(), uniform, mine))
         del own
-        parts.append(docs.select(*dict.fromkeys((*columns, "text"))).mapInArrow(_scored(shared, len(shards), columns), schema))
-    if not parts:
-        return docs.select(*columns, F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("perplexity"))
+        parts.append(asked.mapInArrow(_scored(shared, len(shards), names), schema))
     summed = parts[0]
     if len(shards) > 1:
-        summed = (reduce(DataFrame.unionByName, parts).groupBy(*columns)
-                  .agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n")))
+        # A row comes once from each shard, so a row's sums are those of its copies by their number.
+        copies = F.count("*") / len(shards)
+        sums = (reduce(DataFrame.unionByName, parts).groupBy(*names)
+                .agg((F.sum("log_p") / copies).alias("log_p"), (F.sum("n") / copies).cast("long").alias("n")))
+        summed = keyed.select(*names, *columns).join(small(sums, BROADCAST_SUMS), list(names))
     return summed.select(*columns, "n", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity"))
 
 

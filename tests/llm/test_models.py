@@ -60,6 +60,20 @@ def test_perplexity_against_the_definition(spark, docs, monkeypatch, shard_rows)
     assert got[90] is None and got[91] is None
 
 
+def test_shards_return_every_row(spark, docs):
+    rows = [(1, "abca bcab"), (1, "abca bcab"), (1, "dcba dcba dd"), (2, "abca bcab"), (3, None), (3, None), (4, "")]
+    model = quality.train(docs((7, "abcd abcd bcda"), (8, "dcba acbd")))
+
+    def got(columns, shard_rows):
+        found = quality.perplexity(docs(*rows), model, columns, shard_rows=shard_rows).collect()
+        return sorted((tuple(map(str, r[:-1])), r["perplexity"] or 0.0) for r in found)
+
+    for columns in (("doc_id", "lang"), ("doc_id", "text", "lang", "source", "n_chars")):
+        one, many = got(columns, 10**6), got(columns, 5)
+        assert len(one) == len(rows) and [k for k, _ in one] == [k for k, _ in many]
+        assert all(math.isclose(a, b, rel_tol=1e-9) for (_, a), (_, b) in zip(one, many, strict=True))
+
+
 def test_probabilities_sum_to_one():
     p = kneser_ney(["abcab", "bca"], 5, {n: [0.4, 0.9, 1.3] for n in range(1, 6)})
     assert math.isclose(sum(p("abca" + c)[-1] for c in "abc") + p("abcaz")[-1], 1, rel_tol=1e-9)
