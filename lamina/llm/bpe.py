@@ -2,7 +2,8 @@
 
 The pre-tokens of a slice are found with array operations, looked up by hash among
 those this worker has met, and only new ones are encoded. Texts with characters
-outside Latin letters and plain signs go to the tokenizer itself, whole.
+outside Latin letters and plain signs, or with an added token's content (`<|endoftext|>`),
+go to the tokenizer itself, whole.
 """
 
 from __future__ import annotations
@@ -80,9 +81,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
         with open(file, encoding="utf-8") as f:
-            pre = json.load(f).get("pre_tokenizer") or {}
+            spec = json.load(f)
+        pre = spec.get("pre_tokenizer") or {}
+        self.added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
         if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space"):
             raise ValueError("a byte-level BPE without prefix blank is needed")
         self.piece = self._by_tokenizer
@@ -120,14 +122,14 @@ class Encoder:
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         edges = np.flatnonzero(points == _EDGE)
         odd = (points >= _PLAIN) & ((points < _SIGNS[0]) | (points >= _SIGNS[1])) & (points != _EDGE)
-        if odd.any() or len(edges) != len(rows):
+        if odd.any() or len(edges) != len(rows) or any(t in text for t in self.added):
             return self._mixed(part, rows, points, edges, odd)
         return self._plain(text, points, edges)
 
     def _mixed(self, part, rows, points, edges, odd) -> tuple[np.ndarray, np.ndarray]:
-        """Rows with other characters go to the tokenizer, the rest as ever."""
-        fits = [all(ord(c) < _PLAIN or _SIGNS[0] <= ord(c) < _SIGNS[1] for c in r) if not r.isascii() else True
-                for r in rows]
+        """Rows with other characters or added tokens go to the tokenizer, the rest as ever."""
+        fits = [(r.isascii() or all(ord(c) < _PLAIN or _SIGNS[0] <= ord(c) < _SIGNS[1] for c in r))
+                and not any(t in r for t in self.added) for r in rows]
         plain = [r for r, f in zip(rows, fits, strict=True) if f]
         done = iter([])
         if plain:

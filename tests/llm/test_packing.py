@@ -32,6 +32,21 @@ def test_ids_are_the_tokenizers(encoder, more):
     assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
 
 
+def test_added_tokens_are_those_of_the_file(encoder):
+    from tokenizers import Tokenizer
+
+    texts = ["a b", "one<|endoftext|>two", "<|endoftext|>", " <|endoftext|> <|endoftext|>x", "日<|endoftext|>", "<|endoftext", "<|end", ""]
+    fresh = Tokenizer.from_file(FILES[0])
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[2] == [50256]
+    for made in (encoder, Encoder(FILES[0])):
+        got = []
+        for part in slices(pa.array(texts, pa.string()), 2000):
+            flat, counts = made.encode(part)
+            got += [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+        assert got == want
+
+
 def optimum(sizes, capacity):
     """Fewest bins, by trying all."""
     best = len(sizes)
