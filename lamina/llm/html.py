@@ -33,6 +33,8 @@ INLINE = frozenset((
     "source span strike strong sub sup time tt u var wbr").split())
 #: Fixed: elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Fixed: elements that may stand in a head; any other ends an open one.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: Fixed: elements that end an open one of the same group.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
           "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
@@ -52,7 +54,7 @@ class _Reader(HTMLParser):
         self.blocks: list[tuple[str, str, frozenset[str], int, int]] = []
         self.parts: list[str] = []
         self.linked = self.links = 0
-        self.unseen = 0
+        self.unseen = self.heads = 0
 
     def flush(self) -> None:
         if self.parts:
@@ -65,6 +67,8 @@ class _Reader(HTMLParser):
         self.linked = self.links = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.heads and tag not in IN_HEAD:
+            self._end_head(tag == "body")
         if tag == "br":
             self.parts.append(" ")
         if tag not in INLINE:
@@ -88,6 +92,7 @@ class _Reader(HTMLParser):
             around = around | names
         self.stack.append((tag, around))
         self.unseen += tag in UNSEEN
+        self.heads += tag == "head"
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -95,7 +100,9 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def _pop(self) -> None:
-        self.unseen -= self.stack.pop()[0] in UNSEEN
+        tag = self.stack.pop()[0]
+        self.unseen -= tag in UNSEEN
+        self.heads -= tag == "head"
 
     def _close(self, tags: set[str]) -> None:
         """Ends open elements of these kinds up to the nearest container."""
@@ -106,6 +113,14 @@ class _Reader(HTMLParser):
             elif self.stack[i][0] in _BARRIER:
                 return
 
+    def _end_head(self, always: bool = False) -> None:
+        """Ends an open head with what is open in it; other tags than `body` may stand in some of its elements."""
+        names = [t for t, _ in self.stack]
+        inside = names[names.index("head") + 1:]
+        if always or not any(t in ("noscript", "template", "title") for t in inside):
+            while len(self.stack) > len(names) - len(inside) - 1:
+                self._pop()
+
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()

@@ -38,6 +38,24 @@ def test_other_templates(field, around, holder):
     assert text(field, f"<body><nav><a href='/'>Home</a></nav>{holder.format(body)}{other}</body>") == want
 
 
+HEAD = "<html><head><title>News</title><meta charset=utf-8><script>x < y</script>"
+
+
+@pytest.mark.parametrize("page", [
+    HEAD + "<body><p>one<p>two", HEAD + "<p>one<p>two", HEAD + "</head><body><p>one<p>two", "<head><body><p>one<p>two",
+    HEAD + "<style>p{}</style><link rel=x><noscript><img src=x></noscript><body><p>one</p><p>two</p></body></html>",
+    HEAD + "<template><p>not this</p></template><body><p>one<p>two", HEAD + "<div><p>one</p><b>two</b></div>"])
+def test_a_head_without_an_end(page):
+    assert [t for t, _ in html.blocks(page)] == ["one", "two"]
+
+
+def test_an_article_behind_an_open_head(field):
+    body = f"<h1>The river</h1><p>{STORY}</p><p>{STORY * 2}</p>"
+    want = text(field, f"{HEAD}</head><body><article>{body}</article></body>")
+    assert want and text(field, f"{HEAD}<body><article>{body}</article></body>") == want
+    assert text(field, f"{HEAD}<article>{body}</article>")
+
+
 def test_edge_pages(spark, field):
     rows = [(1, "u", None, 5), (2, None, "", 5), (3, "u", "<html></html>", 5), (4, "u", "no markup here", 5), (5, "u", "<p>" * 3000 + "x", 5),
             (6, "u", "<article><p>" + "Long text, and so on. " * 20_000, 5), (6, "u", "<div><", 5)]
