@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import ann, decontam, html, langid, minhash, packing, quality, substring, suffix, toxicity
+from lamina.llm import ann, decontam, html, langid, minhash, packing, quality, substring, suffix, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "measure", "n_words")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 _OP4_SQL = r"""
 with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
