@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.store import saved
+from lamina.llm.store import BROADCAST_IDS, saved, small
 
 GRAM = 5
 _SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -58,7 +58,8 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, keep: tuple[str, ...] = ()) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, keep: tuple[str, ...] = (),
+                  with_keys: bool = False) -> DataFrame:
     """`doc_id`, `keep`, `n_words`, `n_hit`, `n_items`, `items` (sorted as strings), `contaminated`.
 
     A document word is hit if it stands in an occurrence of a window: `window`
@@ -67,8 +68,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, keep:
     one in twenty.
 
     Null and empty texts have no words; items without words or without item_id
-    match nothing. Rows without a doc_id are left out. Documents repeated
-    whole are returned once; repeated items count once.
+    match nothing. Rows without a doc_id are left out. Every other row is returned, also where
+    rows share a doc_id or are repeated whole (these share `row_key`, returned if `with_keys`, and `keep`);
+    repeated items count once.
     """
     span = window - GRAM + 1
     items = (benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words"))
@@ -139,5 +141,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, keep:
         F.first("n_words").alias("n_words"), *[F.first(c).alias(c) for c in keep],
         F.size(F.array_distinct(F.flatten(covered))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("held")))).alias("items"))
-    return per.select("doc_id", *keep, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
+    twice = base.groupBy("row_key").agg(F.count("*").alias("copies")).where("copies > 1")
+    per = per.join(small(twice, BROADCAST_IDS), "row_key", "left").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("copies", F.lit(1).cast("long")))))
+    return per.select(*["row_key"][:with_keys], "doc_id", *keep, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
                       ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))

@@ -48,22 +48,28 @@ def _symbols(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     return out, starts[:-1] + shift
 
 
-def _keys(part: Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-gram that ends at each character, and the character's row."""
+def _packed(part: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Packed n-gram that ends at each character, and each row's number of characters."""
     symbols, begins = _symbols(part)
     lengths = np.diff(np.append(begins, len(symbols) + ORDER - 1)) - (ORDER - 1)
-    row = np.repeat(np.arange(len(part)), lengths)
-    at = np.arange(len(row)) + np.repeat(begins - (np.cumsum(lengths) - lengths), lengths)
+    at = np.arange(lengths.sum()) + np.repeat(begins - (np.cumsum(lengths) - lengths), lengths)
     key = np.zeros(len(at), np.int64)
     for j in range(ORDER - 1, -1, -1):
-        key = (key << BITS) | symbols[at - j]
-    return key, row
+        key <<= BITS
+        key |= symbols[at - j]
+    return key, lengths
+
+
+def _keys(part: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """The same with the row of each character."""
+    key, lengths = _packed(part)
+    return key, np.repeat(np.arange(len(part)), lengths)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch.column("text"), 4 << 20):
-            keys, counts = np.unique(_keys(part)[0], return_counts=True)
+        for part in slices(batch.column("text")):
+            keys, counts = np.unique(_packed(part)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], ["key", "n"])
 
 

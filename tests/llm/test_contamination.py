@@ -46,3 +46,13 @@ def test_edge_rows(spark, docs):
     assert found(docs(*rows), items(spark, *bench)) == brute([r for r in rows if r[0] is not None], bench, 13)
     assert found(docs(*rows), items(spark)) == brute([r for r in rows if r[0] is not None], [], 13)
     assert found(docs(*rows).limit(0), items(spark, *bench)) == []
+
+
+def test_rows_of_one_doc_id_and_repeated_rows(spark, docs):
+    """Every row comes back, judged by its own text."""
+    bench = [(1, "one two three four")]
+    rows = [(1, "one two three four"), (1, "clean words here"), (1, "clean words here"), (2, "one two three four"), (2, "one two three four"), (3, None), (3, None)]
+    want = brute(rows, bench, 13)
+    assert len(want) == 7 and found(docs(*rows), items(spark, *bench)) == want
+    keyed = decontam.contamination(docs(*rows), items(spark, *bench), with_keys=True).collect()
+    assert len({r["row_key"] for r in keyed}) == 4 and len({r["row_key"] for r in keyed if r["contaminated"]}) == 2

@@ -41,7 +41,7 @@ def test_every_query_is_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op") and x[2].isdigit()}
     assert "pipeline" in names
 
 
@@ -97,6 +97,18 @@ def test_repeated_rows_come_out_once(spark, tmp_path):
     assert sorted((r["doc_id"], r["text"]) for r in left) == sorted(want[:3])
 
 
+def test_contaminated_rows_go_alone(spark, items):
+    """A clean text that shares its doc_id with a contaminated one stays; no rows, no rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clean = " ".join(f"river{k}" for k in range(60))
+    rows = [(7, clean), (7, items[0][1]), (8, clean), (8, clean), (9, None)]
+    more = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, row_key string, copies int")
+    left = corpus_pipeline.drop_contaminated(spark, more, SF)
+    assert left.columns == docs.columns and sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(7, clean), (8, clean), (8, clean), (9, "")]
+    assert corpus_pipeline.drop_contaminated(spark, more.limit(0), SF).collect() == []
+
+
 def test_pipeline_keeps_a_document_given_twice(spark, texts, tmp_path):
     long = {i for i, t in texts if t and len(t.split()) >= 50}
     docs = spark.read.parquet(f"{SF}/documents.parquet")
