@@ -49,10 +49,11 @@ def cut_recurring_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark items make up less than one word in twenty."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), window=13)
-    gone = found.where("contaminated").select("doc_id")
-    return _documents(docs.join(small(gone, BROADCAST_IDS), "doc_id", "left_anti"))
+    """Documents of which benchmark items make up less than one word in twenty. Rows are told apart by row_key."""
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), window=13, with_keys=True)
+    gone = small(found.where("contaminated").select("row_key").distinct(), BROADCAST_IDS)
+    keyed = documents(docs, *(c for c in COLUMNS if c not in ("doc_id", "text")))
+    return _documents(keyed.join(gone, "row_key", "left_anti"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
