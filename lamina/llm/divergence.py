@@ -2,7 +2,7 @@
 
 A term is kept if at least `support` documents of its language hold it. Most distinct terms aren't, and
 counting them all would move a table nearly as large as the corpus. So prefixes are counted first: at each
-level (4, 8, 16, 64, 256 ... bytes) every document names the distinct prefixes of its terms, tasks add them
+level (8, 16, 64, 256 ... bytes) every document names the distinct prefixes of its terms, tasks add them
 up, and a prefix in fewer than `support` documents is discarded with all terms below it. Terms that end within
 a level's bytes are complete there and are kept or dropped by their own exact count. Longer ones go on to the next
 level if their prefix stayed. The levels end when no prefix is left to extend.
@@ -26,7 +26,7 @@ from lamina.llm.store import saved
 from lamina.llm.texts import BYTE_CODES, LOWER, Rolling, Slice, byte_set, slices
 
 SLICE_BYTES = 4 << 20
-FIRST_LEVEL, FINE_LEVELS = 4, 16  # bytes; levels double up to the second, then grow fourfold
+FIRST_LEVEL, FINE_LEVELS = 8, 16  # bytes; levels double up to the second, then grow fourfold
 TABLE_BITS = 27  # of the largest bit table: 16 MB
 PROBES = 3
 SCALE = 1_000_000_000
@@ -47,22 +47,38 @@ def corpus(docs: DataFrame) -> DataFrame:
 
 def _terms(part: Slice) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
     """Distinct terms of a slice, lower-cased, and of each occurrence its term and its row."""
-    solid = np.zeros(len(part.data) + 1, bool)
-    np.logical_not(GAPS[part.data], out=solid[:-1])
-    begins = solid[:-1].copy()
-    begins[1:] &= ~solid[:-2]
+    solid = ~GAPS[part.data]
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
     edges = part.offsets[:-1][np.diff(part.offsets) > 0]
     begins[edges] = solid[edges]  # a text's start starts a term
     places = np.flatnonzero(begins)
-    kept = np.flatnonzero(solid)
-    offsets = np.append(np.searchsorted(kept, places), len(kept)).astype(np.int32)
-    data = LOWER[part.data[kept]]
-    words = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    before = np.cumsum(solid, dtype=np.int32)  # bytes of terms up to each place
+    offsets = np.append(before[places] - np.int32(1), before[-1:])
+    words = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(LOWER[part.data[solid]])])
     coded = words.dictionary_encode()
-    rows = np.searchsorted(part.offsets, places, side="right") - 1
+    rows = np.repeat(np.arange(len(part)), np.diff(np.searchsorted(places, part.offsets)))
     return coded.dictionary, coded.indices.to_numpy(), rows
 
 
+def _distinct(codes: np.ndarray, space: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes below `space`, rising, and of each code its place among them."""
+    if space > 16 * len(codes):
+        return np.unique(codes, return_inverse=True)
+    there = np.zeros(space, bool)
+    there[codes] = True
+    found = np.flatnonzero(there)
+    place = np.zeros(space, np.int32)
+    place[found] = np.arange(len(found), dtype=np.int32)
+    return found, place[codes]
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in any order and how often each stands."""
+    found = pc.value_counts(pa.array(codes))
+    return found.field("values").to_numpy(), found.field("counts").to_numpy()
+
+
 def _hashes(keys: pa.BinaryArray, langs: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each key and its language's number or hash."""
     _, where, what = keys.buffers()
@@ -156,7 +172,7 @@ def _level(texts: DataFrame, spark: SparkSession, stayed: BitTable | None, below
                 if not len(code):
                     continue
                 # one row for each language and term, then for each language and prefix
-                cell, at = np.unique(lang[row].astype(np.int64) * len(terms) + code, return_inverse=True)
+                cell, at = _distinct(lang[row].astype(np.int64) * len(terms) + code, len(names) * len(terms))
                 own, term = np.divmod(cell, len(terms))
                 if table is not None:
                     parent = pc.binary_slice(terms.take(pa.array(term)), 0, below)
@@ -166,8 +182,8 @@ def _level(texts: DataFrame, spark: SparkSession, stayed: BitTable | None, below
                 prefix = pc.binary_slice(terms.take(pa.array(term)), 0, level).dictionary_encode()
                 done = length[term] <= level
                 key = (own * len(prefix.dictionary) + prefix.indices.to_numpy()) * 2 + done
-                pairs = np.unique(key[at] * len(part) + row)  # a document counts once
-                key, count = np.unique(pairs // len(part), return_counts=True)
+                pairs = pc.unique(pa.array(key[at] * len(part) + row)).to_numpy()  # a document counts once
+                key, count = _counted(pairs // len(part))
                 own, rest = np.divmod(key, 2 * len(prefix.dictionary))
                 yield pa.RecordBatch.from_arrays(
                     [pa.DictionaryArray.from_arrays(pa.array(own), langs.dictionary).cast(pa.string()),
@@ -194,7 +210,7 @@ def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
                     continue
                 langs, sources = (batch.column(c).slice(part.first, len(part)).dictionary_encode() for c in ("lang", "source"))
                 group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
-                cell, count = np.unique(group[row] * len(terms) + code, return_counts=True)
+                cell, count = _counted(group[row] * len(terms) + code)
                 own, term = np.divmod(cell, len(terms))
                 lang, source = np.divmod(own, len(sources.dictionary))
                 keys = terms.take(pa.array(term))
@@ -228,10 +244,11 @@ def divergence(docs: DataFrame, support: int = 3, shown: int = SHOWN) -> DataFra
     kept = saved(kept_terms(docs, support))
     counts = saved(term_counts(docs, kept))
     sizes = kept.groupBy("lang").agg(F.count("*").alias("terms"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = saved(counts.groupBy("lang", "source").agg(F.sum("n").alias("total")))
+    sums = totals.groupBy("lang").agg(F.sum("total").alias("sum_lang"))
     named = corpus(docs).select("lang", "source").distinct()
-    fan = named.groupBy("lang").agg(F.count("*").alias("n_sources")).join(sizes, "lang", "left").select(
-        "lang", F.coalesce("terms", F.lit(0)).alias("terms"),
+    fan = named.groupBy("lang").agg(F.count("*").alias("n_sources")).join(sizes, "lang", "left").join(sums, "lang", "left").select(
+        "lang", "sum_lang", F.coalesce("terms", F.lit(0)).alias("terms"),
         F.ceil(F.col("n_sources") / BLOCK_SOURCES).alias("source_blocks"),
         F.greatest(F.lit(1), F.ceil(F.col("terms") / BLOCK_TERMS)).alias("term_blocks"))
     groups = saved(named.join(totals, ["lang", "source"], "left").join(fan, "lang").withColumn("total", F.coalesce("total", F.lit(0)))
@@ -243,9 +260,8 @@ def divergence(docs: DataFrame, support: int = 3, shown: int = SHOWN) -> DataFra
 def _terms_above(counts: DataFrame, shares: DataFrame, shown: int) -> DataFrame:
     """A limit of `shown` rows a group is taken in each task before anything is shuffled by group."""
     whole = counts.groupBy("lang", "key").agg(F.sum("n").alias("n_lang"))
-    sums = counts.groupBy("lang").agg(F.sum("n").alias("sum_lang"))
     q = share(F.col("n_lang"), F.col("sum_lang"), F.col("terms"))
-    above = shares.join(whole, ["lang", "key"]).join(sums, "lang").withColumn("q", q).where("p > q").select(
+    above = shares.join(whole, ["lang", "key"]).withColumn("q", q).where("p > q").select(
         "lang", "source", F.lit("term").alias("part"), F.col("key").cast("string").alias("item"),
         F.expr("(p - q) * (p - q) div q").alias("value"))
     first = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
