@@ -17,9 +17,13 @@ def new_rows(staged: DataFrame, existing: DataFrame, dedup_within_batch: bool =
     anti join asks only whether one is there. Spark broadcasts them where they are
     few, and splits the partition of a hash that many staged copies share.
     """
+    return without(staged, existing.select(F.unhex("_row_hash").alias("hash")), dedup_within_batch)
+
+
+def without(staged: DataFrame, known: DataFrame, dedup_within_batch: bool = False) -> DataFrame:
+    """Rows of `staged` whose `_row_hash` is not among the 16-byte hashes `known`."""
     columns = staged.columns
-    known = existing.select(F.unhex("_row_hash").alias("_known"))
-    rows = staged.join(known, F.unhex(staged["_row_hash"]) == known["_known"], "left_anti")
+    rows = staged.join(known, F.unhex(staged["_row_hash"]) == known["hash"], "left_anti")
     if dedup_within_batch:
         rows = rows.dropDuplicates(["_row_hash"])
     return rows.select(*columns)

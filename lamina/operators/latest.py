@@ -28,7 +28,10 @@ def latest_version(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
     them; the remaining columns only matter for rows whose hashes collide
     because NULLs are skipped, and make the order total.
     """
+    return first_per_key(bronze, keys, version_order(bronze, keys))
+
+
+def version_order(bronze: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Newest first, a total order of the versions of a record."""
     rest = [c for c in bronze.columns if c not in LINEAGE and c not in keys]
-    order = [F.desc_nulls_last("_ingested_at"), F.asc("_row_hash")]
-    order += [F.asc_nulls_last(c) for c in rest]
-    return first_per_key(bronze, keys, order)
+    return [F.desc_nulls_last("_ingested_at"), F.asc("_row_hash"), *[F.asc_nulls_last(c) for c in rest]]

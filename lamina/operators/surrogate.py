@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,6 +33,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-checkpoint-"))
 
 
+def stored_once(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read from then on: one evaluation, of known size."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def stable_keys(
     df: DataFrame, natural_key: str, key_name: str, first_by: Sequence[Column] | None = None,
     known: DataFrame | None = None,

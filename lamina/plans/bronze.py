@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.columns import moment, row_hash
-from lamina.operators.append import new_rows
+from lamina.operators.append import new_rows, without
+from lamina.operators.surrogate import stored_once
 from lamina.schemas import BRONZE
+from lamina.sources.hashed import HashHistory
 
 
 def stage(raw: DataFrame, table: str, ingested_at: datetime | Column) -> DataFrame:
@@ -37,3 +39,19 @@ def increment(
     if existing is None:
         return staged.dropDuplicates(["_row_hash"]) if dedup_within_batch else staged
     return new_rows(staged, existing, dedup_within_batch)
+
+
+def increment_by_history(
+    raw: DataFrame, history: HashHistory, table: str, ingested_at: datetime | Column,
+    dedup_within_batch: bool = False,
+) -> DataFrame:
+    """The same against stored bronze, whose hashes lie in buckets and don't move.
+
+    The batch's distinct hashes go to the buckets first. Those found there are written, so Spark knows how
+    few they are: while they fit a broadcast, the wide rows of the batch aren't shuffled either.
+    """
+    staged = stage(raw, table, ingested_at)
+    known = history.known(staged.select(F.unhex("_row_hash").alias("hash")), "bronze", table)
+    if known is None:
+        return staged.dropDuplicates(["_row_hash"]) if dedup_within_batch else staged
+    return without(staged, stored_once(known), dedup_within_batch)

@@ -177,7 +177,13 @@ def claim_measures(
     Claim and encounter are linked by patient and day. The same earliest
     encounter supplies class and money, so one lookup serves both.
     """
-    base = claims.where("service_date is not null").select(
+    rows, totals = _dated(claims), transaction_totals(transactions)
+    keyed = _with_keys(rows, "claim_id", "claim_key") if numbered else rows
+    return _claim_measures(rows, keyed, totals, encounters, lookups)
+
+
+def _dated(claims: DataFrame) -> DataFrame:
+    return claims.where("service_date is not null").select(
         F.col("id").alias("claim_id"),
         "patient_id",
         "payer_id",
@@ -185,9 +191,13 @@ def claim_measures(
         "claim_status",
         "total_outstanding",
     )
+
+
+def _claim_measures(
+    base: DataFrame, rows: DataFrame, totals: DataFrame, encounters: DataFrame, lookups: Sequence[Lookup],
+) -> DataFrame:
     # Claim ids are unique on all sides: plain joins, one partitioning.
-    rows = _with_keys(base, "claim_id", "claim_key") if numbered else base
-    rows = rows.join(transaction_totals(transactions), "claim_id", "left")
+    rows = rows.join(totals, "claim_id", "left")
     by_day = (first_encounter_of_day(encounters), ["patient_id", "service_day"])
     rows = balanced_lookups(rows, [by_day, *lookups], spread_by=F.col("claim_id"), probe=base)
     return rows.withColumns({
@@ -203,7 +213,20 @@ def fact_claims(
 ) -> DataFrame:
     """One row per claim with a service date."""
     lookups = [patient_lookup(dim_patients), payer_lookup(dim_payers)]
-    return claim_measures(claims, transactions, encounters, lookups, numbered=True).select(
+    return _fact_columns(claim_measures(claims, transactions, encounters, lookups, numbered=True))
+
+
+def fact_claims_of(
+    claims: DataFrame, totals: DataFrame, encounters: DataFrame, dim_patients: DataFrame, dim_payers: DataFrame,
+    keys: DataFrame,
+) -> DataFrame:
+    """The same from totals (as `transaction_totals` has them) and keys (claim_id, claim_key) that are known already."""
+    base, lookups = _dated(claims), [patient_lookup(dim_patients), payer_lookup(dim_payers)]
+    return _fact_columns(_claim_measures(base, base.join(keys, "claim_id"), totals, encounters, lookups))
+
+
+def _fact_columns(measures: DataFrame) -> DataFrame:
+    return measures.select(
         "claim_key",
         "claim_id",
         "patient_key",

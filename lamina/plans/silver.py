@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -26,11 +28,11 @@ def _processed(as_of: datetime) -> Column:
     return moment(as_of).alias("_silver_processed_at")
 
 
-def encounters(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def _encounters(as_of: datetime) -> list[Column | str]:
     note = F.when(F.col("total_claim_cost") < 0, "negative total_claim_cost").when(
         F.col("stop") < F.col("start"), "stop timestamp before start"
     )
-    return latest_version(bronze.where("id is not null"), ["id"]).select(
+    return [
         "id",
         F.col("patient").alias("patient_id"),
         F.col("payer").alias("payer_id"),
@@ -44,22 +46,22 @@ def encounters(bronze: DataFrame, as_of: datetime) -> DataFrame:
         money(or_zero("total_claim_cost") - or_zero("payer_coverage")).alias("patient_oop"),
         *_flags(note),
         _processed(as_of),
-    )
+    ]
 
 
-def payers(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def _payers(as_of: datetime) -> list[Column | str]:
     """Payers carry no row flags."""
-    return latest_version(bronze.where("id is not null"), ["id"]).select(
+    return [
         "id",
         F.trim("name").alias("name"),
         upper_trim("ownership").alias("ownership"),
         "amount_covered",
         "amount_uncovered",
         _processed(as_of),
-    )
+    ]
 
 
-def claims(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def _claims(as_of: datetime) -> list[Column | str]:
     """A claim is closed only when all three statuses say so.
 
     Statuses are upper-cased but not trimmed: ' CLOSED' counts as open, and so
@@ -71,7 +73,7 @@ def claims(bronze: DataFrame, as_of: datetime) -> DataFrame:
         & (F.upper("statusp") == "CLOSED")
     )
     due = or_zero("outstanding1") + or_zero("outstanding2") + or_zero("outstandingp")
-    return latest_version(bronze.where("id is not null"), ["id"]).select(
+    return [
         "id",
         F.col("patientid").alias("patient_id"),
         F.col("primarypatientinsuranceid").alias("payer_id"),
@@ -81,15 +83,15 @@ def claims(bronze: DataFrame, as_of: datetime) -> DataFrame:
         F.col("lastbilleddate1").alias("last_billed_date"),
         *_flags(F.when(F.col("patientid").isNull(), "missing patient_id")),
         _processed(as_of),
-    )
+    ]
 
 
-def claims_transactions(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def _claims_transactions(as_of: datetime) -> list[Column | str]:
     note = F.when(F.col("claimid").isNull(), "missing claim_id").when(
         F.col("amount") < 0, "negative amount"
     )
     days = F.when(upper_trim("type") == "PAYMENT", elapsed_days("fromdate", "todate"))
-    return latest_version(bronze.where("id is not null"), ["id"]).select(
+    return [
         "id",
         F.col("claimid").alias("claim_id"),
         F.col("patientid").alias("patient_id"),
@@ -104,7 +106,7 @@ def claims_transactions(bronze: DataFrame, as_of: datetime) -> DataFrame:
         "outstanding",
         *_flags(note),
         _processed(as_of),
-    )
+    ]
 
 
 # Oldest age of each group but the last.
@@ -122,10 +124,10 @@ def _age_group(birth_year: Column, as_of: datetime) -> Column:
     return group.otherwise(_OLDEST_GROUP)
 
 
-def patients(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def _patients(as_of: datetime) -> list[Column | str]:
     """Exact birth and death dates do not leave bronze."""
     sex = upper_trim("gender")
-    return latest_version(bronze.where("id is not null"), ["id"]).select(
+    return [
         "id",
         F.year("birthdate").alias("birth_year"),
         _age_group(F.year("birthdate"), as_of).alias("age_group"),
@@ -138,18 +140,15 @@ def patients(bronze: DataFrame, as_of: datetime) -> DataFrame:
         F.col("deathdate").isNotNull().alias("is_deceased"),
         *_flags(F.when(F.col("birthdate").isNull(), "missing birthdate — age_group unknown")),
         _processed(as_of),
-    )
+    ]
 
 
 _NO_ENCOUNTER = "missing encounter_id"
 
 
-def conditions(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def _conditions(as_of: datetime) -> list[Column | str]:
     """No id in the source: patient, encounter and the untrimmed code name a record."""
-    latest = latest_version(
-        bronze.where("patient is not null"), ["patient", "encounter", "code"]
-    )
-    return latest.select(
+    return [
         F.col("patient").alias("patient_id"),
         F.col("encounter").alias("encounter_id"),
         F.trim("code").alias("code"),
@@ -159,12 +158,12 @@ def conditions(bronze: DataFrame, as_of: datetime) -> DataFrame:
         F.col("stop").isNull().alias("is_active"),
         *_flags(F.when(F.col("encounter").isNull(), _NO_ENCOUNTER)),
         _processed(as_of),
-    )
+    ]
 
 
-def careplans(bronze: DataFrame, as_of: datetime) -> DataFrame:
+def _careplans(as_of: datetime) -> list[Column | str]:
     """Newest per id first, then the patient test: plans without id share one slot."""
-    return latest_version(bronze, ["id"]).where("patient is not null").select(
+    return [
         "id",
         F.col("patient").alias("patient_id"),
         F.col("encounter").alias("encounter_id"),
@@ -177,19 +176,49 @@ def careplans(bronze: DataFrame, as_of: datetime) -> DataFrame:
         F.trim("reasondescription").alias("reason_description"),
         *_flags(F.when(F.col("encounter").isNull(), _NO_ENCOUNTER)),
         _processed(as_of),
-    )
+    ]
+
+
+@dataclass(frozen=True)
+class Silver:
+    """How a silver table follows from bronze: newest row of each key, then columns row by row."""
+
+    columns: Callable[[datetime], list[Column | str]]
+    keys: tuple[str, ...] = ("id",)
+    known: str | None = "id is not null"  # bronze rows that take part
+    wanted: str | None = None  # newest rows that stay
 
 
-BUILDERS = {
-    "encounters": encounters,
-    "payers": payers,
-    "claims": claims,
-    "claims_transactions": claims_transactions,
-    "patients": patients,
-    "conditions": conditions,
-    "careplans": careplans,
+SILVER = {
+    "encounters": Silver(_encounters),
+    "payers": Silver(_payers),
+    "claims": Silver(_claims),
+    "claims_transactions": Silver(_claims_transactions),
+    "patients": Silver(_patients),
+    "conditions": Silver(_conditions, ("patient", "encounter", "code"), "patient is not null"),
+    "careplans": Silver(_careplans, known=None, wanted="patient is not null"),
 }
 
+
+def newest(bronze: DataFrame, table: str) -> DataFrame:
+    """Newest version of each record, as bronze has it. Taking it of parts and then of what is left changes nothing."""
+    spec = SILVER[table]
+    return latest_version(bronze.where(spec.known) if spec.known else bronze, spec.keys)
+
+
+def shaped(rows: DataFrame, table: str, as_of: datetime, *more: str) -> DataFrame:
+    """Silver columns of newest rows, after the columns `more`."""
+    spec = SILVER[table]
+    return (rows.where(spec.wanted) if spec.wanted else rows).select(*more, *spec.columns(as_of))
+
+
+def _builder(table: str) -> Callable[[DataFrame, datetime], DataFrame]:
+    return lambda bronze, as_of: shaped(newest(bronze, table), table, as_of)
+
+
+BUILDERS = {table: _builder(table) for table in SILVER}
+encounters, payers, claims, claims_transactions, patients, conditions, careplans = BUILDERS.values()
+
 # The checks logged for each silver table.
 _ENCOUNTER_CLASSES = (
     "wellness", "ambulatory", "outpatient", "urgentcare", "emergency",

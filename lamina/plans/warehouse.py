@@ -15,22 +15,28 @@ from pyspark.sql import functions as F
 
 from lamina.operators import quality
 from lamina.operators.integrity import duplicate_summary, orphan_summary
-from lamina.plans import answers, bronze, checks, gold, silver
+from lamina.plans import answers, bronze, checks, gold, incremental, silver
 from lamina.schemas import (
     BRONZE, DQ_LOG, RAW_LAYOUTS, RAW_PRIMARY_KEYS, RAW_REFERENCES, raw_schema,
 )
 from lamina.sources.csv import read_csv
+from lamina.sources.hashed import HashHistory
 from lamina.sources.tables import Tables, path_exists
 
 LOG = "dq_log_results"
 DIMENSIONS = ("dim_date", "dim_patients", "dim_payers", "dim_conditions")
 FACTS = ("fact_claims", "fact_encounters")
 GOLD_TABLES = DIMENSIONS + FACTS
+SURROGATES = {  # natural key and surrogate key
+    "dim_patients": ("patient_id", "patient_key"),
+    "dim_payers": ("payer_id", "payer_key"),
+    "dim_conditions": ("code", "condition_key"),
+}
 
 
 def run_label(layer: str, now: datetime) -> str:
-    """A run id for a caller without one. Fixed format: layer, UTC second, eight hex digits, two underscores between."""
-    return "__".join((layer, f"{now.astimezone(timezone.utc):%Y%m%dT%H%M%S}", f"{uuid4().int:032x}"[:8]))
+    """A run id for a caller without one: layer, UTC time and a random part."""
+    return f"{layer}/{now.astimezone(timezone.utc):%Y-%m-%dT%H:%M:%SZ}/{uuid4()}"
 
 
 @dataclass(frozen=True)
@@ -41,6 +47,8 @@ class Warehouse:
     """
 
     tables: Tables
+    hash_buckets: int = 64  # of the hash history of each bronze table
+    key_buckets: int = 16  # of silver and the claim fact where they are kept up to date by merges
 
     # --- raw ---
 
@@ -72,10 +80,9 @@ class Warehouse:
     def load_bronze(
         self, table: str, raw: DataFrame, as_of: datetime, dedup_within_batch: bool = False
     ) -> int:
-        existing = self.tables.find("bronze", table)
-        return self.tables.append(
-            "bronze", table, bronze.increment(raw, existing, table, as_of, dedup_within_batch)
-        )
+        """Append the rows whose hash bronze does not hold. The history's hashes stay where they are."""
+        return self.tables.append("bronze", table, bronze.increment_by_history(
+            raw, HashHistory(self.tables, self.hash_buckets), table, as_of, dedup_within_batch))
 
     # --- silver ---
 
@@ -115,7 +122,34 @@ class Warehouse:
     # --- gold ---
 
     def load_gold(self, table: str, as_of: datetime) -> int:
-        return self.tables.refresh("gold", table, self._gold(table, as_of))
+        """Refresh a gold table. Keys given to a dimension's rows are registered for good, and both become visible together."""
+        if table not in SURROGATES:
+            return self.tables.refresh("gold", table, self._gold(table, as_of))
+        natural, key = SURROGATES[table]
+        with self.tables.jointly():
+            if self._known_keys(table) is not None and self.tables.find("keys", table) is None:
+                self.tables.append("keys", table, self._known_keys(table))  # a dimension from before there was a registry
+            known = self._known_keys(table)
+            rows = self.tables.refresh("gold", table, self._gold(table, as_of))
+            given = self.tables.read("gold", table).select(natural, key)
+            new = given if known is None else given.join(known.select(natural), natural, "left_anti")
+            self.tables.append("keys", table, new)
+        return rows
+
+    def _known_keys(self, table: str) -> DataFrame | None:
+        """Every natural key that ever had a surrogate key, also of rows that left the dimension."""
+        known = self.tables.find("keys", table)
+        if known is None:
+            known = self.tables.find("gold", table)
+        return None if known is None else known.select(*SURROGATES[table])
+
+    def merge_silver(self, table: str, as_of: datetime) -> int:
+        """Take new bronze rows into a silver table; only the buckets of their keys are written."""
+        return incremental.merge_silver(self.tables, table, as_of, self.key_buckets)
+
+    def merge_fact_claims(self) -> int:
+        """Compute anew the claims that changes of silver and new keys concern."""
+        return incremental.merge_fact_claims(self.tables, self.key_buckets)
 
     def _gold(self, table: str, as_of: datetime) -> DataFrame:
         def s(name: str) -> DataFrame:
@@ -124,10 +158,7 @@ class Warehouse:
         def g(name: str) -> DataFrame:
             return self.tables.read("gold", name)
 
-        def stored(name: str) -> DataFrame | None:
-            # Facts hold a dimension's keys, so a refresh may not deal them anew.
-            return self.tables.find("gold", name)
-
+        stored = self._known_keys  # facts hold a dimension's keys, so a refresh may not deal them anew
         if table == "dim_date":
             return gold.dim_date(
                 gold.first_warehouse_day(s("claims"), s("encounters")), as_of
@@ -154,10 +185,13 @@ class Warehouse:
 
     def build(
         self, raw: Mapping[str, DataFrame] | None, as_of: datetime, run_id: str | None = None,
-        at_once: int = 4,
+        at_once: int = 4, by_merges: bool = False,
     ) -> str:
         """Run every step. `raw` defaults to the stored raw layer. Returns the run id.
 
+        With `by_merges`, silver and the claim fact take in what is new instead of being built from all
+        that bronze holds, table by table; the other steps are as always.
+
         Tables of a layer do not depend on each other, so up to `at_once` of
         them are submitted together and share the executors. Silver and its
         checks become visible in one step, and so do all gold tables.
@@ -172,6 +206,14 @@ class Warehouse:
                 list(pool.map(load, names))  # waits, and raises what a load raised
 
             each(lambda t: self.load_bronze(t, source(t), as_of), BRONZE)
+            if by_merges:
+                for t in BRONZE:
+                    self.merge_silver(t, as_of)
+                self.log_checks(BRONZE, as_of, run_id)
+                with self.tables.together():
+                    each(lambda t: self.load_gold(t, as_of), (*DIMENSIONS, "fact_encounters"))
+                self.merge_fact_claims()
+                return run_id
             with self.tables.together():
                 each(lambda t: self.refresh_silver(t, as_of), BRONZE)
                 self.log_checks(BRONZE, as_of, run_id)

@@ -13,7 +13,7 @@ import json
 import threading
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -139,18 +139,43 @@ class Tables:
         finally:
             self._pending.changes = None
 
-    def folders(self, layer: str, table: str) -> list[str]:
-        """The folders that make up a table now; none if it was never written."""
-        key = f"{layer}/{table}"
-        found = self._manifest()[1].get(key, [])
-        mode, fresh = (self._pending.changes or {}).get(key, ("append", []))
-        return [f"{self.root.rstrip('/')}/{p}" for p in (fresh if mode == "replace" else found + fresh)]
+    def jointly(self) -> AbstractContextManager[None]:
+        """Part of the joint change that is open, or one of its own."""
+        return nullcontext() if self._pending.changes is not None else self.together()
+
+    def _seen(self) -> dict[str, list[str]]:
+        """The newest manifest with the changes of this writer on top."""
+        tables = self._manifest()[1]
+        for key, (mode, fresh) in (self._pending.changes or {}).items():
+            tables[key] = fresh if mode == "replace" else tables.get(key, []) + fresh
+        return tables
+
+    def folders(self, layer: str, table: str, buckets: Iterable[int] | None = None) -> list[str]:
+        """The folders that make up a table now, or some of its buckets; none if it was never written."""
+        tables, key = self._seen(), f"{layer}/{table}"
+        found = tables.get(key, []) if buckets is None else []
+        wanted = None if buckets is None else set(buckets)
+        for name in sorted(tables):
+            if name.startswith(f"{key}/") and (wanted is None or int(name.rsplit("/", 1)[1]) in wanted):
+                found = found + tables[name]
+        return [f"{self.root.rstrip('/')}/{p}" for p in found]
+
+    def in_buckets(self, layer: str, table: str) -> bool:
+        return any(name.startswith(f"{layer}/{table}/") for name, folders in self._seen().items() if folders)
+
+    def noted(self, name: str) -> set[str]:
+        """Marks made under a name; folders that were taken in, for example."""
+        return set(self._seen().get(f"noted/{name}", []))
+
+    def note(self, name: str, marks: Iterable[str]) -> None:
+        """Add marks; they become visible with the other changes of a joint change."""
+        self._change({f"noted/{name}": ("append", list(marks))})
 
     # --- reading ---
 
-    def find(self, layer: str, table: str) -> DataFrame | None:
-        """The table, or None when it was never written."""
-        paths = self.folders(layer, table)
+    def find(self, layer: str, table: str, buckets: Iterable[int] | None = None) -> DataFrame | None:
+        """The table or some of its buckets, or None when it was never written."""
+        paths = self.folders(layer, table, buckets)
         return self.spark.read.parquet(*paths) if paths else None
 
     def read(self, layer: str, table: str) -> DataFrame:
@@ -178,22 +203,49 @@ class Tables:
         """Add rows; `df` may read the table. Returns the rows written."""
         return self._write(layer, table, df, "append")
 
+    def refresh_buckets(self, layer: str, table: str, df: DataFrame, touched: Iterable[int]) -> int:
+        """Replace some buckets of a table; `df` has all rows they are to hold, and their bucket as column `bucket`.
+
+        The column isn't stored. A table that is stored whole gives way to its buckets.
+        """
+        part = f"{layer}/{table}/{uuid.uuid4().hex}"
+        rows = self._written(df, part, "bucket")
+        changes: dict[str, tuple[str, list[str]]] = {f"{layer}/{table}": ("replace", [])}
+        for bucket in touched:
+            own = f"{part}/bucket={bucket}"
+            there = path_exists(self.spark, f"{self.root.rstrip('/')}/{own}")
+            changes[f"{layer}/{table}/{bucket}"] = ("replace", [own] if there else [])
+        self._change(changes)
+        self.report(f"  {layer}.{table}: {rows} rows in {len(changes) - 1} buckets")
+        return rows
+
     def _write(self, layer: str, table: str, df: DataFrame, mode: str) -> int:
+        part = f"{layer}/{table}/{uuid.uuid4().hex}"
+        rows = self._written(df, part)
+        changes = {f"{layer}/{table}": (mode, [part])}
+        if mode == "replace":
+            changes |= {name: ("replace", []) for name, folders in self._seen().items() if folders and name.startswith(f"{layer}/{table}/")}
+        self._change(changes)
+        self.report(f"  {layer}.{table}: {rows} rows")
+        return rows
+
+    def _written(self, df: DataFrame, part: str, *by: str) -> int:
         # Counted while writing: no second pass.
         seen = Observation()
-        part = f"{layer}/{table}/{uuid.uuid4().hex}"
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.parquet(f"{self.root.rstrip('/')}/{part}")
-        rows = seen.get["rows"]
+        counted.write.partitionBy(*by).parquet(f"{self.root.rstrip('/')}/{part}")
+        return seen.get["rows"]
+
+    def _change(self, changes: dict[str, tuple[str, list[str]]]) -> None:
+        """Commit, or add to the joint change."""
         with self._pending.lock:
             pending = self._pending.changes
             if pending is None:
-                self._commit({f"{layer}/{table}": (mode, [part])})
-            else:
-                before, folders = pending.get(f"{layer}/{table}", (mode, []))
-                pending[f"{layer}/{table}"] = (mode, [part]) if mode == "replace" else (before, [*folders, part])
-        self.report(f"  {layer}.{table}: {rows} rows")
-        return rows
+                self._commit(changes)
+                return
+            for key, (mode, fresh) in changes.items():
+                before, folders = pending.get(key, (mode, []))
+                pending[key] = (mode, fresh) if mode == "replace" else (before, [*folders, *fresh])
 
     def publish(self, layer: str, tables: Iterable[str]) -> list[str]:
         """Make stored tables known to SQL, as views <namespace>.<table> of what they hold now.

@@ -65,8 +65,10 @@ def test_log_rows(rows):
 def test_run_label():
     from lamina.plans.warehouse import run_label
 
-    prefix, stamp, tail = run_label("silver", datetime(2024, 6, 30, 1, 2, 3, tzinfo=timezone.utc)).split("__")
-    assert (prefix, stamp, len(tail)) == ("silver", "20240630T010203", 8)
+    at = datetime(2024, 6, 30, 1, 2, 3, tzinfo=timezone.utc)
+    prefix, stamp, tail = run_label("silver", at).split("/")
+    assert (prefix, stamp, len(tail)) == ("silver", "2024-06-30T01:02:03Z", 36)
+    assert run_label("silver", at) != run_label("silver", at)
 
 
 @pytest.mark.parametrize("hits,status", [(9, "PASSED"), (8, "FAILED")])
