@@ -17,7 +17,7 @@ from lamina.operators import quality
 from lamina.operators.integrity import duplicate_summary, orphan_summary
 from lamina.operators.surrogate import ensure_checkpoint_dir
 from lamina.plans import answers, bronze, checks, gold, silver
-from lamina.schemas import BRONZE, bronze_schema
+from lamina.schemas import BRONZE, bronze_schema, raw_columns
 from lamina.sources.csv import read_csv
 from lamina.sources.tables import empty
 
@@ -152,6 +152,36 @@ def _csv_transactions(flow: Flow) -> DataFrame:
     return read_csv(spark, path, table).select(*BRONZE[table].columns)
 
 
+def filled_transactions() -> str:
+    """All columns of the raw layout: those of the source, and for the others text with quotes, commas and line breaks,
+    or numbers, by the type. Valid in Spark SQL and in DuckDB."""
+    filled = {
+        "string": "concat(cast(id as varchar(40)), ' said \"{0}\", ', chr(10), ' twice ')",
+        "integer": "cast(length(cast(id as varchar(40))) * {1} as integer)",
+        "decimal": "cast(length(cast(id as varchar(40))) * {1} as decimal(15,2))",
+    }
+    columns = []
+    for k, c in enumerate(raw_columns("claims_transactions")):
+        kind = c.type.typeName()
+        if c.name in BRONZE["claims_transactions"].columns:
+            columns.append(f"cast({c.name} as varchar(40)) as {c.name}" if c.is_uuid else c.name)
+        elif c.is_uuid:
+            columns.append(f"concat('{c.name}-', cast(id as varchar(40))) as {c.name}")
+        else:
+            columns.append(filled[kind].format(c.name, k) + f" as {c.name}")
+    return ", ".join(columns)
+
+
+def _csv_all_columns(flow: Flow) -> DataFrame:
+    spark, table = flow.spark, "claims_transactions"
+    path, utc_text = _scratch(spark, table), "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    flow.raw(table).createOrReplaceTempView("lamina_transactions")
+    filled = spark.sql(f"select {filled_transactions()} from lamina_transactions")
+    filled.withColumns({c: F.date_format(c, utc_text) for c in ("fromdate", "todate")}).write.option("header", True).option(
+        "escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_csv(spark, path, table)
+
+
 def _csv_texts(flow: Flow) -> DataFrame:
     """Whole documents as observation values: quotes, line breaks, any script."""
     spark = flow.spark
@@ -238,7 +268,20 @@ def _registry() -> dict[str, Callable[[Flow], DataFrame]]:
         "raw_populated": lambda f: stored.raw_populated(f, AS_OF),
         "keys_after_new_payer": lambda f: stored.keys_after_new_payer(f, AS_OF),
         "refresh_twice": lambda f: stored.refresh_twice(f, AS_OF),
+        **{name: lambda f, make=make: make(f, AS_OF) for name, make in {
+            "bronze_three_loads": stored.three_loads,
+            "silver_merge": stored.silver_merge,
+            "fact_claims_merged": stored.fact_claims_merged,
+            "keys_after_a_gap": stored.keys_after_a_gap,
+            "csv_folder_load": stored.folder_load,
+            "run_summary": stored.run_summary,
+            "answers_in_order": stored.answers_in_order,
+            "raw_duplicates": stored.raw_duplicates,
+            "raw_orphans": stored.raw_orphans,
+            "gold_meaning": stored.gold_meaning,
+        }.items()},
         "csv_roundtrip": _csv_transactions,
+        "csv_all_columns": _csv_all_columns,
         "csv_roundtrip_text": _csv_texts,
     }
     return entries

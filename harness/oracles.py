@@ -11,8 +11,8 @@ import re
 from typing import NamedTuple
 
 from harness.adapters import REFERENCES, source_sql
-from harness.catalog import AS_OF, DAY_BEFORE, RUN_ID
-from lamina.schemas import RAW_LAYOUTS, raw_columns
+from harness.catalog import AS_OF, DAY_BEFORE, RUN_ID, filled_transactions
+from lamina.schemas import RAW_LAYOUTS, RAW_PRIMARY_KEYS, RAW_REFERENCES, raw_columns
 
 
 class _Source(NamedTuple):
@@ -195,6 +195,19 @@ def _steps() -> dict[str, str]:
         "select * from b_claims_first union all select * from b_claims_increment"
     )
 
+    tomorrow = f"{_NOW} + interval 1 day"
+    steps["b_load_1"] = _bronze("claims", "(select * from a_claims_open where id % 3 <> 0)", _YESTERDAY)
+    steps["b_load_2"] = "select * from b_claims where _row_hash not in (select _row_hash from b_load_1)"
+    steps["b_load_3_all"] = _bronze("claims", "a_claims_open", tomorrow)
+    steps["b_load_3"] = ("select * from b_load_3_all where _row_hash not in "
+                         "(select _row_hash from b_load_1 union all select _row_hash from b_load_2)")
+    steps["b_loads"] = "select * from b_load_1 union all select * from b_load_2 union all select * from b_load_3"
+    steps["b_late"] = _bronze("claims", "(select * replace ('LATE' as status2) from a_claims where id % 2 = 0)", _YESTERDAY)
+    steps["b_same"] = _bronze("claims", "(select * replace ('SAME' as status2) from a_claims where id % 5 = 0)", _NOW)
+    steps["b_merged"] = ("select * from b_load_1 union all select * from b_load_2 "
+                         "union all select * from b_late union all select * from b_same")
+    steps["s_merged"] = _silver_claims("b_merged")
+
     steps["s_encounters"] = f"""
 select id, patient as patient_id, payer as payer_id, lower(trim(encounterclass)) as encounter_class,
   start as start_ts, stop as stop_ts,
@@ -397,6 +410,55 @@ def _gold_checks() -> str:
     return " union all ".join(parts)
 
 
+def _gold_meaning() -> str:
+    """Keys of facts against the natural keys of their records."""
+    parts = []
+    for fact, own, record in (("fact_claims", "claim_id", "s_claims"), ("fact_encounters", "encounter_id", "s_encounters")):
+        for natural, key, dim in (("payer_id", "payer_key", "d_payers"), ("patient_id", "patient_key", "d_patients")):
+            wrong = f"count(*) filter (where r.{natural} is distinct from d.{natural})"
+            parts.append(_check(
+                f"{key} means {natural}", fact, wrong, f"{wrong} = 0",
+                f"f_{fact.split('_')[1]} f join {record} r on r.id = f.{own} left join {dim} d on d.{key} = f.{key} where f.{key} is not null"))
+    return " union all ".join(parts)
+
+
+def _raw_duplicates() -> str:
+    """Tables that the test data has none of are empty."""
+    return " union all ".join(
+        f"select '{t}' as table_name, 'id' as key_columns, count(*) as duplicate_keys, "
+        f"cast(coalesce(sum(n - 1), 0) as bigint) as surplus_rows from "
+        + (f"(select count(*) as n from a_{t} group by id having count(*) > 1)" if t in BRONZE else "(select 1 as n where false)")
+        for t in RAW_PRIMARY_KEYS)
+
+
+def _raw_orphans() -> str:
+    parts = []
+    for child, references in RAW_REFERENCES.items():
+        for column, parent in references.items():
+            there = child in BRONZE and column in BRONZE[child].columns
+            known = f"(select id from a_{parent})" if parent in BRONZE else "(select null where false)"
+            parts.append(
+                f"select '{child}' as child_table, '{column}' as child_column, '{parent}' as parent_table, "
+                + (f"count(distinct {column}) as orphan_keys, count(*) as orphan_rows from a_{child} "
+                   f"where {column} is not null and {column} not in {known}" if there
+                   else "cast(0 as bigint) as orphan_keys, cast(0 as bigint) as orphan_rows"))
+    return " union all ".join(parts)
+
+
+def _in_order() -> str:
+    def placed(name: str, rows: str, item: str, order: str) -> str:
+        return (f"select '{name}' as answer, concat_ws('|', {item}) as item, rank() over (order by {order}) as place "
+                f"from ({rows})")
+
+    return " union all ".join([
+        placed("revenue_cycle", _revenue(), "payer, ownership, encounter_class", "total_outstanding desc nulls first"),
+        placed("payer_settlement", _settlement(), "ownership", "avg_days nulls last"),
+        placed("failed_checks", "select * from dq_log_all where status = 'FAILED'", "table_name, column_name, metric_type",
+               "checked_at desc nulls first"),
+        placed("check_trend", "select table_name, status from dq_log_all group by table_name, status", "table_name, status", "table_name"),
+    ])
+
+
 def _csv_texts() -> str:
     return """
 select cast(doc_id as varchar) as code, lang as category, source as description,
@@ -498,6 +560,24 @@ union all select 'run-2', count(*), count(*) + 1, 2 * count(*) from dq_log_all""
         "csv_roundtrip": _with_doubles(
             _csv_transactions(), bronze_money["claims_transactions"]),
         "csv_roundtrip_text": _csv_texts(),
+        "csv_all_columns": _with_doubles(f"select {filled_transactions()} from a_claims_transactions",
+                                         " ".join(c.name for c in raw_columns("claims_transactions"))),
+        "bronze_three_loads": money("b_loads", bronze_money["claims"]),
+        "silver_merge": money("s_merged", silver_money["claims"]),
+        "fact_claims_merged": _with_doubles(
+            "select * exclude (claim_key) from f_claims", "total_claim_cost payer_coverage patient_oop total_outstanding "
+            "total_payments total_adjustments"),
+        "keys_after_a_gap": "select payer_id, payer_key from d_payers union all select -5, count(*) + 1 from d_payers",
+        "csv_folder_load": " union all ".join(
+            f"select '{t}' as table_name, n as loaded, cast(0 as bigint) as loaded_again, n > 0 as is_loaded, n as stored from "
+            + (f"(select count(*) as n from a_{t})" if t in BRONZE else "(select cast(0 as bigint) as n)") for t in RAW_LAYOUTS),
+        "run_summary": """
+select table_name, count(*) filter (where status = 'PASSED') as passed,
+  count(*) as checks, true as one_run from dq_log_all group by table_name""",
+        "answers_in_order": _in_order(),
+        "raw_duplicates": _raw_duplicates(),
+        "raw_orphans": _raw_orphans(),
+        "gold_meaning": _gold_meaning(),
     }
     return {name: _assemble(final, steps) for name, final in finals.items()}
 

@@ -62,6 +62,8 @@ def merge_silver(tables: Tables, table: str, as_of: datetime, buckets: int) -> i
         tables.note(f"silver/{table}", [_name(f) for f in fresh])
         batch = stored_once(silver.newest(spark.read.parquet(*fresh), table).select("*", bucket_of(keys, buckets)))
         touched = _numbers(batch)
+        if not touched:  # loads without new rows
+            return 0
         current = tables.find("current", table, touched)
         if current is None:
             merged, gone, came = batch, None, batch
