@@ -49,7 +49,7 @@ def main() -> None:
             timed(name, lambda n=name: drain(registered[n](spark, SF_DIR)))
 
     for _ in range(RUNS):
-        house = Warehouse(Tables(spark, tempfile.mkdtemp(prefix="bench-"), lambda line: None))
+        house = Warehouse(Tables(spark, tempfile.mkdtemp(prefix="bench-"), lambda line: None), hash_buckets=8)
         # The test tables are one row group each; the raw layer is stored in several files.
         timed("warehouse_raw", lambda: [
             house.tables.refresh("raw", t, source(spark, SF_DIR, t).repartition(int(CPUS)))

@@ -272,6 +272,7 @@ def _registry() -> dict[str, Callable[[Flow], DataFrame]]:
             "bronze_three_loads": stored.three_loads,
             "silver_merge": stored.silver_merge,
             "fact_claims_merged": stored.fact_claims_merged,
+            "fact_encounters_merged": stored.fact_encounters_merged,
             "keys_after_a_gap": stored.keys_after_a_gap,
             "csv_folder_load": stored.folder_load,
             "run_summary": stored.run_summary,

@@ -567,6 +567,7 @@ union all select 'run-2', count(*), count(*) + 1, 2 * count(*) from dq_log_all""
         "fact_claims_merged": _with_doubles(
             "select * exclude (claim_key) from f_claims", "total_claim_cost payer_coverage patient_oop total_outstanding "
             "total_payments total_adjustments"),
+        "fact_encounters_merged": _with_doubles("select * exclude (encounter_key) from f_encounters", "total_claim_cost patient_oop"),
         "keys_after_a_gap": "select payer_id, payer_key from d_payers union all select -5, count(*) + 1 from d_payers",
         "csv_folder_load": " union all ".join(
             f"select '{t}' as table_name, n as loaded, cast(0 as bigint) as loaded_again, n > 0 as is_loaded, n as stored from "

@@ -23,7 +23,7 @@ _built: dict[tuple[str, str], Warehouse] = {}
 def _empty_house(flow, report=lambda line: None) -> Warehouse:
     ensure_checkpoint_dir(flow.spark)
     root = f"{flow.spark.sparkContext.getCheckpointDir()}/house-{uuid.uuid4().hex}"
-    return Warehouse(Tables(flow.spark, root, report))
+    return Warehouse(Tables(flow.spark, root, report), hash_buckets=8, key_buckets=4)
 
 
 def _new_house(flow, report=lambda line: None) -> Warehouse:
@@ -142,13 +142,19 @@ def silver_merge(flow, as_of) -> DataFrame:
     return house.tables.read("silver", "claims")
 
 
-def fact_claims_merged(flow, as_of) -> DataFrame:
-    """The claim fact after two batches, the second taken in by computing the claims it concerns."""
+_merged: dict[tuple[str, str], Warehouse] = {}
+
+
+def _merged_house(flow, as_of) -> Warehouse:
+    """A warehouse whose facts took in two batches, the second by computing what it concerns; one for a session."""
+    key = (flow.spark.sparkContext.applicationId, flow.sf_dir)
+    if key in _merged:
+        return _merged[key]
     house = _empty_house(flow)
     for part in (F.pmod("number", F.lit(3)) == 0, F.pmod("number", F.lit(3)) != 0):
         for table in BRONZE:
             raw = source(flow.spark, flow.sf_dir, table)
-            if table not in ("patients", "payers"):
+            if table not in ("patients", "payers"):  # whole at once, so that keys are those of a full build
                 raw = raw.withColumn("number", F.xxhash64(*raw.columns)).where(part).drop("number")
             if table == "claims_transactions":  # they say themselves when they arrived
                 house.tables.append("bronze", table, bronze.stage(raw, table, F.col("fromdate")))
@@ -158,7 +164,17 @@ def fact_claims_merged(flow, as_of) -> DataFrame:
         for dim in ("dim_patients", "dim_payers"):
             house.load_gold(dim, as_of)
         house.merge_fact_claims()
-    return house.tables.read("gold", "fact_claims").drop("claim_key")
+        house.merge_fact_encounters()
+    _merged[key] = house
+    return house
+
+
+def fact_claims_merged(flow, as_of) -> DataFrame:
+    return _merged_house(flow, as_of).tables.read("gold", "fact_claims").drop("claim_key")
+
+
+def fact_encounters_merged(flow, as_of) -> DataFrame:
+    return _merged_house(flow, as_of).tables.read("gold", "fact_encounters").drop("encounter_key")
 
 
 def keys_after_a_gap(flow, as_of) -> DataFrame:

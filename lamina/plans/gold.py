@@ -257,11 +257,20 @@ def fresh_acute_encounters(encounters: DataFrame) -> DataFrame:
     last start, map-side, and lag() runs over days: a patient with a third of
     all encounters still has no more rows here than the calendar has days.
     """
+    return fresh_of_days(patient_days(encounters))
+
+
+def patient_days(encounters: DataFrame) -> DataFrame:
+    """First encounter and last start of each patient's day."""
     starts = encounters.where("start_ts is not null")
-    days = starts.groupBy("patient_id", F.col("start_ts").cast("date").alias("day")).agg(
+    return starts.groupBy("patient_id", F.col("start_ts").cast("date").alias("day")).agg(
         F.min(F.struct("start_ts", "id", "encounter_class")).alias("first"),
         F.max("start_ts").alias("last_start"),
     )
+
+
+def fresh_of_days(days: DataFrame) -> DataFrame:
+    """`fresh_acute_encounters` of all days of some patients."""
     by_patient = Window.partitionBy("patient_id").orderBy("day")
     previous = F.lag("last_start").over(by_patient)
     limit = F.col("first.start_ts") - F.expr(f"interval {READMISSION_DAYS} days")
@@ -314,7 +323,14 @@ def encounter_measures(
     `profile` holds one row per patient with `plan_start`, and whatever else is
     to be looked up by patient.
     """
-    base = encounters.where("start_ts is not null").select(
+    base = _started(encounters)
+    rows = _with_keys(base, "encounter_id", "encounter_key") if numbered else base
+    return _encounter_measures(
+        base, rows, condition_counts(conditions), fresh_acute_encounters(encounters), profile, lookups)
+
+
+def _started(encounters: DataFrame) -> DataFrame:
+    return encounters.where("start_ts is not null").select(
         F.col("id").alias("encounter_id"),
         "patient_id",
         "payer_id",
@@ -324,15 +340,22 @@ def encounter_measures(
         "total_claim_cost",
         "patient_oop",
     )
-    counts = (
+
+
+def condition_counts(conditions: DataFrame) -> DataFrame:
+    return (
         conditions.where("encounter_id is not null")
         .groupBy("encounter_id")
         .agg(F.count(F.lit(1)).alias("condition_count"))
     )
+
+
+def _encounter_measures(
+    base: DataFrame, rows: DataFrame, counts: DataFrame, fresh: DataFrame, profile: DataFrame,
+    lookups: Sequence[Lookup],
+) -> DataFrame:
     # Encounter ids are unique on all sides: plain joins, one partitioning.
-    rows = _with_keys(base, "encounter_id", "encounter_key") if numbered else base
-    rows = rows.join(counts, "encounter_id", "left")
-    rows = rows.join(fresh_acute_encounters(encounters), "encounter_id", "left")
+    rows = rows.join(counts, "encounter_id", "left").join(fresh, "encounter_id", "left")
     by_patient = (profile, ["patient_id"])
     rows = balanced_lookups(
         rows, [by_patient, *lookups], spread_by=F.col("encounter_id"), probe=base
@@ -353,7 +376,23 @@ def fact_encounters(
     """One row per encounter with a start."""
     profile = patient_profile(dim_patients, careplans)
     lookups = [payer_lookup(dim_payers)]
-    return encounter_measures(encounters, conditions, profile, lookups, numbered=True).select(
+    return _encounter_columns(
+        encounter_measures(encounters, conditions, profile, lookups, numbered=True))
+
+
+def fact_encounters_of(
+    encounters: DataFrame, counts: DataFrame, fresh: DataFrame, careplans: DataFrame,
+    dim_patients: DataFrame, dim_payers: DataFrame, keys: DataFrame,
+) -> DataFrame:
+    """The same from condition counts, fresh acute encounters and keys (encounter_id, encounter_key) that are known."""
+    base, profile = _started(encounters), patient_profile(dim_patients, careplans)
+    rows = base.join(keys, "encounter_id")
+    return _encounter_columns(
+        _encounter_measures(base, rows, counts, fresh, profile, [payer_lookup(dim_payers)]))
+
+
+def _encounter_columns(measures: DataFrame) -> DataFrame:
+    return measures.select(
         "encounter_key",
         "encounter_id",
         "patient_key",

@@ -1,4 +1,4 @@
-"""Silver and the claim fact kept up to date batch by batch, without going through the history again.
+"""Silver and the facts kept up to date batch by batch, without going through the history again.
 
 Silver. The newest bronze row of each key lies in `current`, in buckets by key. A batch is reduced to the newest
 row of each of its keys; only the buckets of these keys are read, merged and written, in `current` and in silver. Newest of
@@ -10,6 +10,8 @@ that came and subtracts those that went, exactly, as they are decimals and whole
 its totals did, if an encounter of its patient's day did, or if a key it lacked has come. Only dirty claims are computed anew, by the
 same code as a full build, and only their buckets are written.
 
+Encounter fact. Its states are patient-days and condition counts; see `merge_fact_encounters`.
+
 A step's results, the marks of what it took in, and the changes it found become visible together. A step that fails
 is done again from the same state.
 """
@@ -19,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions.columns import exact_ratio, money
@@ -28,7 +30,9 @@ from lamina.operators.surrogate import stable_keys, stored_once
 from lamina.plans import gold, silver
 from lamina.sources.tables import Tables
 
-CHANGES = ("claims", "claims_transactions", "encounters")  # of which the claim fact needs to know
+# The changes that a fact needs to know of.
+CLAIM_CHANGES = ("claims", "claims_transactions", "encounters")
+ENCOUNTER_CHANGES = ("encounters", "conditions", "careplans")
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -84,7 +88,7 @@ def merge_silver(tables: Tables, table: str, as_of: datetime, buckets: int) -> i
         held = tables.find("current", table, shape)
         shaped = silver.shaped(held.select("*", bucket_of(keys, buckets)), table, as_of, "bucket")
         tables.refresh_buckets("silver", table, shaped, shape)
-        if table in CHANGES:
+        if table in CLAIM_CHANGES + ENCOUNTER_CHANGES:
             changed = silver.shaped(came.withColumn("sign", F.lit(1)), table, as_of, "sign")
             if gone is not None:
                 changed = changed.unionByName(silver.shaped(gone.withColumn("sign", F.lit(-1)), table, as_of, "sign"))
@@ -136,7 +140,7 @@ def merge_fact_claims(tables: Tables, buckets: int) -> int:
     The first time all claims are computed. A claim keeps its key; new claims get new ones.
     """
     spark = tables.spark
-    fresh = {t: [f for f in tables.folders("changes", t) if _name(f) not in tables.noted(f"fact_claims/{t}")] for t in CHANGES}
+    fresh = _unseen(tables, "fact_claims", CLAIM_CHANGES)
     dims = [tables.read("gold", name) for name in ("dim_patients", "dim_payers")]
     claims, encounters = tables.read("silver", "claims"), tables.read("silver", "encounters")
     fact = tables.find("gold", "fact_claims") if tables.in_buckets("gold", "fact_claims") else None
@@ -159,7 +163,7 @@ def merge_fact_claims(tables: Tables, buckets: int) -> int:
         if fact is None:
             dirty = None
         else:
-            ids = [_resolved(fact, claims, dim, entity) for dim, entity in zip(dims, ("patient", "payer"), strict=True)]
+            ids = [_resolved(fact, "claim_id", claims, dim, entity) for dim, entity in zip(dims, ("patient", "payer"), strict=True)]
             if fresh["claims"]:
                 ids.append(changed("claims").select(F.col("id").alias("claim_id")))
             if deltas is not None:
@@ -173,28 +177,136 @@ def merge_fact_claims(tables: Tables, buckets: int) -> int:
             totals = totals.join(dirty, "claim_id", "left_semi")
             wanted = claims.select("patient_id", F.col("service_date").cast("date").alias("_day")).distinct()
             encounters = encounters.withColumn("_day", F.col("start_ts").cast("date")).join(wanted, ["patient_id", "_day"], "left_semi").drop("_day")
-        known = tables.find("keys", "fact_claims")
-        keyed = stored_once(stable_keys(claims.where("service_date is not null").select(F.col("id").alias("claim_id")), "claim_id", "claim_key", known=known))
-        new = keyed if known is None else keyed.join(known, "claim_id", "left_anti")
-        tables.append("keys", "fact_claims", new)
-        rows = gold.fact_claims_of(claims, totals, encounters, *dims, keys=keyed).select("*", bucket_of(["claim_id"], buckets))
-        if dirty is None:
-            return tables.refresh_buckets("gold", "fact_claims", rows.repartition("bucket"), range(buckets))
-        touched = _numbers(dirty)
-        held = tables.find("gold", "fact_claims", touched)
-        rows = stored_once(rows)
-        if held is not None:
-            others = held.join(dirty, "claim_id", "left_anti").select(*held.columns, bucket_of(["claim_id"], buckets))
-            rows = others.unionByName(rows.repartition("bucket"))
-        tables.refresh_buckets("gold", "fact_claims", rows, touched)
-        return dirty.count()
-
-
-def _resolved(fact: DataFrame, claims: DataFrame, dim: DataFrame, entity: str) -> DataFrame:
-    """Claims that lacked a key which the dimension has by now."""
-    lacking = fact.where(F.col(f"{entity}_key").isNull()).select("claim_id")
-    return (claims.select(F.col("id").alias("claim_id"), f"{entity}_id").where(f"{entity}_id is not null")
-            .join(lacking, "claim_id", "left_semi").join(dim, f"{entity}_id", "left_semi").select("claim_id"))
+        keyed = _keyed(tables, "fact_claims", claims.where("service_date is not null").select(F.col("id").alias("claim_id")), "claim_key")
+        rows = gold.fact_claims_of(claims, totals, encounters, *dims, keys=keyed)
+        return _stored(tables, "fact_claims", "claim_id", rows, dirty, buckets)
+
+
+def _unseen(tables: Tables, fact: str, names: Sequence[str]) -> dict[str, list[str]]:
+    """Folders of changes that a fact hasn't taken in."""
+    return {t: [f for f in tables.folders("changes", t) if _name(f) not in tables.noted(f"{fact}/{t}")] for t in names}
+
+
+def _keyed(tables: Tables, fact: str, ids: DataFrame, key: str) -> DataFrame:
+    """Ids with their keys; new ones are registered."""
+    known = tables.find("keys", fact)
+    keyed = stored_once(stable_keys(ids, ids.columns[0], key, known=known))
+    tables.append("keys", fact, (keyed if known is None else keyed.join(known, ids.columns[0], "left_anti")).select(*ids.columns, key))
+    return keyed
+
+
+def _stored(tables: Tables, fact: str, name: str, rows: DataFrame, dirty: DataFrame | None, buckets: int) -> int:
+    """Put the rows of dirty ids (None: of all) in the place of what a fact has of them."""
+    rows = rows.select("*", bucket_of([name], buckets))
+    if dirty is None:
+        return tables.refresh_buckets("gold", fact, rows.repartition("bucket"), range(buckets))
+    touched = _numbers(dirty)
+    if not touched:
+        return 0
+    held = tables.find("gold", fact, touched)
+    rows = stored_once(rows)
+    if held is not None:
+        others = held.join(dirty, name, "left_anti").select(*held.columns, bucket_of([name], buckets))
+        rows = others.unionByName(rows.repartition("bucket"))
+    tables.refresh_buckets("gold", fact, rows, touched)
+    return dirty.count()
+
+
+def _resolved(fact: DataFrame, name: str, records: DataFrame, dim: DataFrame, entity: str) -> DataFrame:
+    """Ids of facts that lacked a key which the dimension has by now."""
+    lacking = fact.where(F.col(f"{entity}_key").isNull()).select(name)
+    return (records.select(F.col("id").alias(name), f"{entity}_id").where(f"{entity}_id is not null")
+            .join(lacking, name, "left_semi").join(dim, f"{entity}_id", "left_semi").select(name))
+
+
+# --- the encounter fact ------------------------------------------------------
+
+
+def merge_fact_encounters(tables: Tables, buckets: int) -> int:
+    """Bring the encounter fact up to the changes it hasn't taken in. Returns the number of encounters computed.
+
+    Readmission looks at the patient's previous day. So a day that changed concerns its own encounters and those of
+    the next day the patient has, however far back it lies; patient-days are kept, and only changed ones are reduced
+    anew. Condition counts add up. A changed care plan concerns the encounters of its patient.
+    """
+    spark, fresh = tables.spark, _unseen(tables, "fact_encounters", ENCOUNTER_CHANGES)
+    dims = [tables.read("gold", name) for name in ("dim_patients", "dim_payers")]
+    encounters, careplans = tables.read("silver", "encounters"), tables.read("silver", "careplans")
+    fact = tables.find("gold", "fact_encounters") if tables.in_buckets("gold", "fact_encounters") else None
+    with tables.together():
+        for table, folders in fresh.items():
+            tables.note(f"fact_encounters/{table}", [_name(f) for f in folders])
+
+        def changed(table: str) -> DataFrame:
+            return spark.read.parquet(*fresh[table])
+
+        counted = _counts_merged(tables, changed("conditions"), buckets) if fresh["conditions"] else None
+        moved = _days_merged(tables, changed("encounters"), encounters, buckets) if fresh["encounters"] else None
+        counts, days = tables.find("state", "condition_counts"), tables.read("state", "patient_days")
+        if counts is None:
+            counts = gold.condition_counts(tables.read("silver", "conditions"))
+        if fact is None:
+            dirty = None
+        else:
+            own = encounters.select(F.col("id").alias("encounter_id"), "patient_id", F.col("start_ts").cast("date").alias("day"))
+            ids = [_resolved(fact, "encounter_id", encounters, dim, entity) for dim, entity in zip(dims, ("patient", "payer"), strict=True)]
+            if counted is not None:
+                ids.append(counted.select("encounter_id"))
+            if moved is not None:
+                ids.append(changed("encounters").select(F.col("id").alias("encounter_id")))
+                ids.append(_matching(own, _concerned(days, moved), ["patient_id", "day"], "left_semi").select("encounter_id"))
+            if fresh["careplans"]:
+                ids.append(own.join(changed("careplans").select("patient_id").distinct(), "patient_id", "left_semi").select("encounter_id"))
+            dirty = stored_once(_union(ids).distinct().select("*", bucket_of(["encounter_id"], buckets)))
+            encounters = stored_once(encounters.join(dirty, encounters["id"] == dirty["encounter_id"], "left_semi"))
+            patients = encounters.select("patient_id").distinct()
+            counts = counts.join(dirty, "encounter_id", "left_semi")
+            days = _matching(days, patients, ["patient_id"], "left_semi")
+            careplans = careplans.join(patients, "patient_id", "left_semi")
+        keyed = _keyed(tables, "fact_encounters", encounters.where("start_ts is not null").select(F.col("id").alias("encounter_id")), "encounter_key")
+        rows = gold.fact_encounters_of(encounters, counts, gold.fresh_of_days(days), careplans, *dims, keys=keyed)
+        return _stored(tables, "fact_encounters", "encounter_id", rows, dirty, buckets)
+
+
+def _counts_merged(tables: Tables, changed: DataFrame, buckets: int) -> DataFrame:
+    """Conditions of each encounter, kept as counts; returns what was added to whose."""
+    def summed(rows: DataFrame, column: str) -> DataFrame:
+        return rows.groupBy("encounter_id").agg(F.sum(column).cast("bigint").alias("condition_count"))
+
+    deltas = summed(changed.where("encounter_id is not null"), "sign")
+    deltas = stored_once(deltas.select("*", bucket_of(["encounter_id"], buckets)))
+    touched = _numbers(deltas)
+    held = tables.find("state", "condition_counts", touched)
+    counts = deltas.drop("bucket")
+    if held is not None:
+        counts = summed(held.unionByName(counts), "condition_count")
+    counts = counts.where("condition_count > 0").select("*", bucket_of(["encounter_id"], buckets))
+    tables.refresh_buckets("state", "condition_counts", counts.repartition("bucket"), touched)
+    return deltas
+
+
+def _days_merged(tables: Tables, changed: DataFrame, encounters: DataFrame, buckets: int) -> DataFrame:
+    """Patient-days, of which those that changed are reduced anew from their encounters; returns these, gone ones, too."""
+    names = ["patient_id", "day"]
+    moved = changed.where("start_ts is not null").select("patient_id", F.col("start_ts").cast("date").alias("day")).distinct()
+    moved = stored_once(moved.select("*", bucket_of(["patient_id"], buckets)))
+    touched = _numbers(moved)
+    on_them = _matching(encounters.withColumn("day", F.col("start_ts").cast("date")), moved, names, "left_semi")
+    days = gold.patient_days(on_them).select("*", bucket_of(["patient_id"], buckets)).repartition("bucket")
+    held = tables.find("state", "patient_days", touched)
+    if held is not None:
+        days = _matching(held, moved, names, "left_anti").select("*", bucket_of(["patient_id"], buckets)).unionByName(days)
+    tables.refresh_buckets("state", "patient_days", days, touched)
+    return moved
+
+
+def _concerned(days: DataFrame, moved: DataFrame) -> DataFrame:
+    """The days that moved, and the next day that each of their patients has after one."""
+    own = _matching(days, moved.select("patient_id").distinct(), ["patient_id"], "left_semi")
+    marked = own.select("patient_id", "day", F.lit(False).alias("moved")).unionByName(
+        moved.select("patient_id", "day", F.lit(True).alias("moved"))).groupBy("patient_id", "day").agg(F.max("moved").alias("moved"))
+    before = F.lag("moved").over(Window.partitionBy("patient_id").orderBy("day"))
+    return marked.withColumn("after", F.coalesce(before, F.lit(False))).where("moved or after").select("patient_id", "day")
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:

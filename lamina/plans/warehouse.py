@@ -48,7 +48,7 @@ class Warehouse:
 
     tables: Tables
     hash_buckets: int = 64  # of the hash history of each bronze table
-    key_buckets: int = 16  # of silver and the claim fact where they are kept up to date by merges
+    key_buckets: int = 16  # of silver and the facts where they are kept up to date by merges
 
     # --- raw ---
 
@@ -151,6 +151,10 @@ class Warehouse:
         """Compute anew the claims that changes of silver and new keys concern."""
         return incremental.merge_fact_claims(self.tables, self.key_buckets)
 
+    def merge_fact_encounters(self) -> int:
+        """Compute anew the encounters that changes of silver and new keys concern."""
+        return incremental.merge_fact_encounters(self.tables, self.key_buckets)
+
     def _gold(self, table: str, as_of: datetime) -> DataFrame:
         def s(name: str) -> DataFrame:
             return self.tables.read("silver", name)
@@ -189,7 +193,7 @@ class Warehouse:
     ) -> str:
         """Run every step. `raw` defaults to the stored raw layer. Returns the run id.
 
-        With `by_merges`, silver and the claim fact take in what is new instead of being built from all
+        With `by_merges`, silver and the facts take in what is new instead of being built from all
         that bronze holds, table by table; the other steps are as always.
 
         Tables of a layer do not depend on each other, so up to `at_once` of
@@ -211,8 +215,9 @@ class Warehouse:
                     self.merge_silver(t, as_of)
                 self.log_checks(BRONZE, as_of, run_id)
                 with self.tables.together():
-                    each(lambda t: self.load_gold(t, as_of), (*DIMENSIONS, "fact_encounters"))
+                    each(lambda t: self.load_gold(t, as_of), DIMENSIONS)
                 self.merge_fact_claims()
+                self.merge_fact_encounters()
                 return run_id
             with self.tables.together():
                 each(lambda t: self.refresh_silver(t, as_of), BRONZE)
