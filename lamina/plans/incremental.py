@@ -66,7 +66,9 @@ def merge_silver(tables: Tables, table: str, as_of: datetime, buckets: int) -> i
         tables.note(f"silver/{table}", [_name(f) for f in fresh])
         batch = stored_once(silver.newest(spark.read.parquet(*fresh), table).select("*", bucket_of(keys, buckets)))
         touched = _numbers(batch)
-        if not touched:  # loads without new rows
+        if not touched:  # loads without rows that count
+            if tables.find("silver", table) is None:
+                tables.refresh("silver", table, silver.BUILDERS[table](batch.drop("bucket"), as_of))
             return 0
         current = tables.find("current", table, touched)
         if current is None:
@@ -158,8 +160,8 @@ def merge_fact_claims(tables: Tables, buckets: int) -> int:
             before = tables.find("state", "claim_totals", touched)
             states = deltas.drop("bucket") if before is None else _added(before.unionByName(deltas.drop("bucket")))
             tables.refresh_buckets("state", "claim_totals", states.select("*", bucket_of(["claim_id"], buckets)).repartition("bucket"), touched)
-        totals = tables.find("state", "claim_totals")
-        totals = totals_of(totals if totals is not None else deltas)
+        states = tables.find("state", "claim_totals")
+        totals = gold.transaction_totals(tables.read("silver", "claims_transactions")) if states is None else totals_of(states)
         if fact is None:
             dirty = None
         else:
@@ -242,9 +244,11 @@ def merge_fact_encounters(tables: Tables, buckets: int) -> int:
 
         counted = _counts_merged(tables, changed("conditions"), buckets) if fresh["conditions"] else None
         moved = _days_merged(tables, changed("encounters"), encounters, buckets) if fresh["encounters"] else None
-        counts, days = tables.find("state", "condition_counts"), tables.read("state", "patient_days")
+        counts, days = tables.find("state", "condition_counts"), tables.find("state", "patient_days")
         if counts is None:
             counts = gold.condition_counts(tables.read("silver", "conditions"))
+        if days is None:
+            days = gold.patient_days(encounters)
         if fact is None:
             dirty = None
         else:

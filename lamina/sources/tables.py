@@ -215,6 +215,9 @@ class Tables:
             own = f"{part}/bucket={bucket}"
             there = path_exists(self.spark, f"{self.root.rstrip('/')}/{own}")
             changes[f"{layer}/{table}/{bucket}"] = ("replace", [own] if there else [])
+        left = [p for k, p in self._seen().items() if k.startswith(f"{layer}/{table}/") and p and k not in changes]
+        if not rows and not left:  # a table without rows has a layout all the same
+            return self._write(layer, table, df.drop("bucket"), "replace")
         self._change(changes)
         self.report(f"  {layer}.{table}: {rows} rows in {len(changes) - 1} buckets")
         return rows

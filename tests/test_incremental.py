@@ -188,3 +188,14 @@ def test_a_back_dated_encounter_concerns_its_own_and_the_next_day(spark, house):
     assert load((40, 1, "wellness", 6, 25), day=1) == 3  # itself, 1 May and 1 July
     assert load((41, None, "emergency", 2, 20)) == 2
     assert load((50, 2, "inpatient", 1, 1)) == 2
+
+
+def test_empty_tables(spark, house):
+    for table in BRONZE:
+        house.tables.append("bronze", table, bronze.stage(source(spark, SF, table).limit(0), table, AS_OF))
+        assert house.merge_silver(table, AS_OF) == 0 and house.tables.read("silver", table).count() == 0
+    for dim in ("dim_patients", "dim_payers"):
+        house.load_gold(dim, AS_OF)
+    for _ in range(2):
+        assert house.merge_fact_claims() == 0 and house.merge_fact_encounters() == 0
+    assert house.tables.read("gold", "fact_claims").count() == house.tables.read("gold", "fact_encounters").count() == 0
