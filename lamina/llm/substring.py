@@ -1,10 +1,11 @@
-"""Recurring passages of words: found by anchors, located by sharded Aho-Corasick automata.
+"""Recurring passages of words: found and located by anchors, checked by sharded Aho-Corasick automata.
 
 1. Anchors (`recurrence.py`) of all windows, one row for each run of windows. Counting
    runs by anchor and shape gives what recurs as a whole; where an anchor has
    several shapes, the windows of one run for each shape are counted.
 2. That confirms, for each document, the stretches whose windows all occur twice.
-   Neighbouring ones are one passage.
+   Neighbouring ones are one passage. These joins locate every occurrence already;
+   the automata below find nothing that they don't give.
 3. Passages meet the documents that hold them by key. Each task compiles the
    distinct passages of its share of documents to automata over word numbers
    (pyahocorasick, integer keys), and streams every whole document of the share
