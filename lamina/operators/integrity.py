@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,3 +50,35 @@ def orphan_summary(
         F.count(F.lit(1)).alias("orphan_keys"),
         F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("orphan_rows"),
     )
+
+
+def orphan_summaries(
+    references: Sequence[tuple[str, str, str]], tables: Mapping[str, DataFrame], parent_key: str = "id",
+) -> DataFrame:
+    """`orphan_summary` of many references (child, column, parent) of one key type, in one plan.
+
+    A child is read once for all its references, and a parent once for all that point at it. Their keys meet in
+    a sort-merge join: estimates of one column of a wide table fall short, so a broadcast, one for each reference,
+    would bring all the parents' keys to the driver.
+    """
+    parents = sorted({parent for _, _, parent in references})
+    counted = []
+    for child in dict.fromkeys(child for child, _, _ in references):
+        pairs = F.array(*[
+            F.struct(F.lit(i).alias("ref"), F.lit(parents.index(parent)).alias("parent"), F.col(column).alias("key"))
+            for i, (name, column, parent) in enumerate(references) if name == child])
+        counted.append(tables[child].select(F.inline(pairs)).where("key is not null")
+                       .groupBy("ref", "parent", "key").agg(F.count(F.lit(1)).alias("row_count")))
+    held = reduce(DataFrame.unionByName, [
+        tables[name].select(F.lit(i).alias("parent"), F.col(parent_key).alias("key")) for i, name in enumerate(parents)])
+    found = (
+        reduce(DataFrame.unionByName, counted)
+        .join(held.hint("merge"), ["parent", "key"], "left_anti")
+        .groupBy("ref").agg(F.count(F.lit(1)).alias("orphan_keys"), F.sum("row_count").alias("orphan_rows"))
+    )
+    listed = found.sparkSession.createDataFrame(
+        [(i, *names) for i, names in enumerate(references)],
+        "ref int, child_table string, child_column string, parent_table string")
+    return listed.join(found, "ref", "left").orderBy("ref").select(
+        "child_table", "child_column", "parent_table",
+        *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("orphan_keys", "orphan_rows")])

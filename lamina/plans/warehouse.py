@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.operators import quality
-from lamina.operators.integrity import duplicate_summary, orphan_summary
+from lamina.operators.integrity import duplicate_summary, orphan_summaries
 from lamina.plans import answers, bronze, checks, gold, incremental, silver
 from lamina.schemas import (
     BRONZE, DQ_LOG, RAW_LAYOUTS, RAW_PRIMARY_KEYS, RAW_REFERENCES, raw_schema,
@@ -290,11 +290,8 @@ class Warehouse:
 
     def raw_orphans(self) -> DataFrame:
         """References of the raw layer that point nowhere, one row per reference."""
-        return reduce(DataFrame.unionByName, [
-            orphan_summary(self._raw(child), child, column, self._raw(parent), parent)
-            for child, references in RAW_REFERENCES.items()
-            for column, parent in references.items()
-        ])
+        references = [(child, column, parent) for child, found in RAW_REFERENCES.items() for column, parent in found.items()]
+        return orphan_summaries(references, {t: self._raw(t) for t in RAW_LAYOUTS})
 
     def _raw(self, table: str) -> DataFrame:
         return self.tables.read_or_empty("raw", table, raw_schema(table))
