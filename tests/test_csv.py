@@ -81,6 +81,29 @@ def test_line_breaks_across_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("cut", ["90", "128m"])
+def test_lines_are_gathered_where_they_are_read(spark, tmp_path, cut):
+    """Records longer than a block or a batch; lines aren't shuffled, and without cut files nothing is."""
+    folder = tmp_path / "organizations.csv"
+    folder.mkdir()
+    expected = [(f"{i}" + "\n" * (i * 7 % 41) + '"' * (i % 3), f"c{i}\n", str(i)) for i in range(60)]
+    for part in range(2):
+        lines = ['"{}","{}",{}'.format(n.replace('"', '""'), c, z) for n, c, z in expected[part::2]]
+        (folder / f"{part}.csv").write_text("name,city,zip\n" + "\n".join(lines) + "\n" * part)
+    settings = {"spark.sql.files.maxPartitionBytes": cut, "spark.sql.files.openCostInBytes": "0",
+                "spark.sql.files.minPartitionNum": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        df = read_csv(spark, str(folder), "organizations").select("name", "city", "zip")
+        assert sorted(map(tuple, df.collect())) == sorted(expected)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert cut == "90" or "Exchange hashpartitioning" not in plan
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_multiline_files_with_other_headers_are_not_mixed(spark, tmp_path):
     folder = tmp_path / "organizations.csv"
     folder.mkdir()
