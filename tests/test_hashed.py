@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from lamina.plans import bronze
 from lamina.plans.warehouse import Warehouse
 from lamina.sources.hashed import HashHistory
 from lamina.sources.tables import Tables
@@ -43,6 +44,19 @@ def test_overlapping_loads(spark, house, request, broadcast):
     assert house.load_bronze("conditions", conditions(spark, [77, 77]), AS_OF, dedup_within_batch=True) == 1
 
 
+def test_a_repeated_load_moves_only_hashes(spark, house, no_broadcast):
+    """Its rows meet the hashes that aren't stored: none. Its own hashes are exchanged once."""
+    house.load_bronze("conditions", conditions(spark, range(9)), AS_OF)
+    history = HashHistory(house.tables, 4)
+    batch = spark.range(9).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("hash"))
+    plan = history.unknown(batch, "bronze", "conditions")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("REPARTITION_BY_NUM") == 2  # the same exchange, named by both
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    again = bronze.increment_by_history(conditions(spark, range(9)), history, "conditions", AS_OF)
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan and again.count() == 0
+
+
 def exchanges_above_scans(plan):
     """Whether an exchange stands between the history's scan and its join."""
     lines = plan.split("\n")
