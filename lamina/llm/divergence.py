@@ -2,7 +2,7 @@
 
 A term is kept if at least `support` documents of its language hold it. Most distinct terms aren't, and
 counting them all would move a table nearly as large as the corpus. So prefixes are counted first: at each
-level (8, 16, 64, 256 ... bytes) every document names the distinct prefixes of its terms, tasks add them
+level (16, 64, 256 ... bytes) every document names the distinct prefixes of its terms, tasks add them
 up, and a prefix in fewer than `support` documents is discarded with all terms below it. Terms that end within
 a level's bytes are complete there and are kept or dropped by their own exact count. Longer ones go on to the next
 level if their prefix stayed. The levels end when no prefix is left to extend.
@@ -26,7 +26,7 @@ from lamina.llm.store import saved
 from lamina.llm.texts import BYTE_CODES, LOWER, Rolling, Slice, byte_set, slices
 
 SLICE_BYTES = 4 << 20
-FIRST_LEVEL, FINE_LEVELS = 8, 16  # bytes; levels double up to the second, then grow fourfold
+FIRST_LEVEL = 16  # bytes: most terms are complete there, and each level is a pass over the texts; levels grow fourfold
 TABLE_BITS = 27  # of the largest bit table: 16 MB
 PROBES = 3
 SCALE = 1_000_000_000
@@ -148,7 +148,7 @@ def kept_terms(docs: DataFrame, support: int = 3) -> DataFrame:
         n = longer.count()
         if not n:
             break
-        stayed, below, level = bit_table(longer, n), level, level * (2 if level < FINE_LEVELS else 4)
+        stayed, below, level = bit_table(longer, n), level, level * 4
     found = kept[0]
     for part in kept[1:]:
         found = found.unionAll(part)

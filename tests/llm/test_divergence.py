@@ -99,3 +99,12 @@ def test_query_against_sql(spark):
     result = open_duckdb(folder).execute(queries.ORACLE_SQL["op13_source_divergence"])
     order = [[d[0] for d in result.description].index(c) for c in columns]
     assert sorted(tuple(r) for r in frame.select(*columns).collect()) == sorted(tuple(r[i] for i in order) for r in result.fetchall())
+
+
+def test_terms_of_sixteen_bytes_take_one_pass(spark, monkeypatch):
+    passes, level = [], divergence._level
+    monkeypatch.setattr(divergence, "_level", lambda *args: (passes.append(args[-1]), level(*args))[1])
+    texts = ["abcdefghijklmnop tenletters short", "tenletters short", "abcdefghijklmnop short", "abcdefghijklmnop tenletters"]
+    kept = divergence.kept_terms(spark.createDataFrame([(t, "en", "s") for t in texts], "text string, lang string, source string"))
+    assert sorted((bytes(r["key"]), r["n_docs"]) for r in kept.collect()) == [(b"abcdefghijklmnop", 3), (b"short", 3), (b"tenletters", 3)]
+    assert passes == [16]
