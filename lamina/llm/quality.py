@@ -32,6 +32,7 @@ from lamina.llm.texts import HashIndex, Slice, slices
 ORDER = 5
 BITS = 12
 SHARD_ROWS = 4_000_000
+SCORE_BYTES = 1 << 18  # of text scored at once: whole arrays of 8 bytes a character are made of it
 BROADCAST_SUMS = BROADCAST_IDS // 4  # rows of two keys and two sums
 _MASK = (1 << BITS) - 1
 _PLAIN = 3500  # code points above share what is left of the 12 bits
@@ -170,7 +171,7 @@ def _scored(shared, shards: int, columns: tuple[str, ...]):
         table.uniform = shared.value[3]
         mine = shared.value[4]
         for batch in batches:
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), SCORE_BYTES):
                 key, row = _keys(part)
                 if shards > 1:
                     own = mine[(key >> BITS) & _MASK]

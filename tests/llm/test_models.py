@@ -170,3 +170,19 @@ def test_blocks_of_a_page():
     page = "<body><p>one\n two<br>three<p>four &amp; <b>fi</b>ve &eacute;<script>x<y</script><ul><li>six<li>seven</ul><style>p{}</style>eight"
     assert [t for t, _ in blocks(page)] == ["one two three", "four & five é", "six", "seven", "eight"]
     assert blocks(None) == blocks("") == blocks("<script>a") == []
+
+
+def test_texts_are_scored_in_small_slices(monkeypatch):
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    sizes, keys = [], quality._keys
+    monkeypatch.setattr(quality, "_keys", lambda part: (sizes.append(len(part.data)), keys(part))[1])
+    text, n = "a few words " * 100, 2000
+    shared = SimpleNamespace(value=(np.zeros(0, np.int8), np.zeros(0, np.int64), np.zeros(0), -1.0, np.ones(1 << quality.BITS, bool)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([text] * n)], ["doc_id", "text"])
+    found = [r for b in quality._scored(shared, 1, ("doc_id",))(iter([batch])) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["n"], r["log_p"]) for r in found] == [(i, len(text), -float(len(text))) for i in range(n)]
+    assert sum(sizes) == n * len(text) and max(sizes) <= 1 << 18
