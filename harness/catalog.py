@@ -31,9 +31,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Flow:
     """The layers over one set of test tables, built on demand."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, store_silver: bool = False):
+        self.spark, self.sf_dir, self.store_silver = spark, sf_dir, store_silver
         self._dims: dict[str, DataFrame] = {}
+        self._silver: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
         return source(self.spark, self.sf_dir, table)
@@ -55,7 +56,12 @@ class Flow:
         return bronze.increment(self.raw("claims"), first, "claims", AS_OF)
 
     def silver(self, table: str) -> DataFrame:
-        return silver.BUILDERS[table](self.bronze(table), AS_OF)
+        if table in self._silver:
+            return self._silver[table]
+        built = silver.BUILDERS[table](self.bronze(table), AS_OF)
+        if self.store_silver:
+            built = self._silver[table] = stored_once(built)
+        return built
 
     def checks(self, table: str) -> DataFrame:
         return quality.measure(self.silver(table), f"silver_{table}", silver.CHECKS[table])
@@ -220,7 +226,8 @@ def _orphans(flow: Flow) -> DataFrame:
 
 
 def _gold_checks(flow: Flow) -> DataFrame:
-    return checks.gold_layer(flow.gold())
+    # Dimensions, numbering, facts and the calendar are jobs of their own, and all read silver: it is computed once.
+    return checks.gold_layer(Flow(flow.spark, flow.sf_dir, store_silver=True).gold())
 
 
 def _registry() -> dict[str, Callable[[Flow], DataFrame]]:

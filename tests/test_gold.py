@@ -347,3 +347,25 @@ def test_readmission_answer(rows):
                 *[("inpatient", True, i == 0) for i in range(8)], ("home", True, False))
     assert [tuple(r) for r in answers.readmission(fact).collect()] == [(True, 8, 1, Decimal("12.50"))]
     assert answers.readmission_preview(fact).first().readmission_pct == Decimal("12.5")
+
+
+def test_gold_checks_compute_each_silver_table_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from harness import catalog
+    from lamina.plans import silver
+    from lamina.schemas import raw_schema
+
+    def few(session, _, table):
+        return session.range(3).select(*[
+            (F.col("id") if f.name in ("id", "patient") else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in raw_schema(table).fields])
+
+    def counted(name, build):
+        return lambda *args: (built.append(name), build(*args))[1]
+
+    built = []
+    monkeypatch.setattr(catalog, "source", few)
+    monkeypatch.setattr(silver, "BUILDERS", {t: counted(t, b) for t, b in silver.BUILDERS.items()})
+    assert catalog.queries()["check_gold"](spark, "").count() > 0
+    assert built and len(built) == len(set(built))
