@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm import decontam, minhash, packing, quality, substring
 from lamina.llm.queries import table, tokenizer_file
-from lamina.llm.store import BROADCAST_IDS, documents, saved, small
+from lamina.llm.store import BROADCAST_IDS, documents, light_batches, saved, small
 
 #: Columns of `documents`, which all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -21,6 +21,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under the model of trusted text is usual for their language."""
+    light_batches(spark)
     judged = quality.classify(docs, table(spark, sf_dir, "labels"), keep=COLUMNS)
     return _documents(judged.where("kept"))
 
@@ -31,6 +32,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by row_key, so a row that shares its doc_id with a duplicate stays. Of rows
     repeated whole one stays; only their texts are shuffled.
     """
+    light_batches(spark)
     groups = saved(minhash.near_duplicates(docs, words=5, percent=80, with_keys=True).select("row_key", "first_key"))
     gone = small(groups.where("row_key <> first_key").select("row_key").distinct(), BROADCAST_IDS)
     twice = small(groups.where("row_key = first_key").groupBy("row_key").agg(F.count("*").alias("n"))
@@ -43,6 +45,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_recurring_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words that recurring windows of 35 words cover; a document without words left goes."""
+    light_batches(spark)
     cut = substring.remove_recurring(docs, length=35, with_text=True, keep=("lang", "source"))
     left = cut.where("n_removed < n_words").withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return _documents(left)
@@ -50,6 +53,7 @@ def cut_recurring_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark items make up less than one word in twenty. Rows are told apart by row_key."""
+    light_batches(spark)
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), window=13, with_keys=True)
     gone = small(found.where("contaminated").select("row_key").distinct(), BROADCAST_IDS)
     keyed = documents(docs, *(c for c in COLUMNS if c not in ("doc_id", "text")))
@@ -58,6 +62,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of tokenised documents, each with its place in a sequence of 1024 tokens."""
+    light_batches(spark)
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"), capacity=1024, end_id=2)
 
 

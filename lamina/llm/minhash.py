@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.components import components
 from lamina.llm.store import documents, saved
-from lamina.llm.texts import Rolling, Slice, lists, mix, slices, word_bounds, word_codes
+from lamina.llm.texts import WINDOW_BYTES, Rolling, Slice, lists, mix, slices, word_bounds, word_codes
 
 BINS, BANDS = 128, 32
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 15  # about the most members, and shingles, of a block
@@ -79,7 +79,7 @@ def band_keys(own: np.ndarray) -> np.ndarray:
 def _signatures(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), WINDOW_BYTES):
                 sets = shingle_sets(part, words)
                 prints = [int(mix(s + np.uint64(len(s))).sum(dtype=np.uint64)) if len(s) else 0 for s in sets]
                 bands = [band_keys(s) if len(s) else s for s in sets]
@@ -97,7 +97,7 @@ def _signatures(words: int):
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), WINDOW_BYTES):
                 sets = shingle_sets(part, words)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("row_key").slice(part.first, len(part)),

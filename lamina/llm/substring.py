@@ -31,16 +31,17 @@ from pyspark.sql import functions as F
 
 from lamina.llm.recurrence import runs
 from lamina.llm.store import documents, saved
-from lamina.llm.texts import HashIndex, Rolling, Slice, slices, word_bounds, word_codes
+from lamina.llm.texts import WINDOW_BYTES, HashIndex, Rolling, Slice, slices, word_bounds, word_codes
 
 GRAM = 8
+SHARE_BYTES = 1 << 19  # of documents whose passages are compiled together
 _SHARD_WORDS = 1 << 20  # an automaton is compiled when so many words of passages have come
 
 
 def _anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), WINDOW_BYTES):
                 starts, ends, first = word_bounds(part)
                 found = runs(word_codes(part, starts, ends, lower=False), first, length, min(GRAM, length))
                 row = pa.array(found.row)
@@ -61,7 +62,7 @@ def _windows(length: int):
     """Hash of each window of the runs listed with a document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), WINDOW_BYTES):
                 starts, ends, first = word_bounds(part)
                 rolling = Rolling(word_codes(part, starts, ends, lower=False))
                 own = batch.column("runs").slice(part.first, len(part))
@@ -166,7 +167,7 @@ def _strip(length: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = [x for x in batch.schema.names if x not in ("row_key", "text", "spans")]
-            for part in slices(batch.column("text"), 4 << 20):
+            for part in slices(batch.column("text"), SHARE_BYTES):
                 yield one(part, batch, names)
     return run
 
