@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from lamina.llm.store import saved
 from lamina.llm.texts import BYTE_CODES, LOWER, Rolling, Slice, byte_set, slices
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20  # tasks name each term once a slice, so larger slices send fewer rows
 FIRST_LEVEL = 16  # bytes: most terms are complete there, and each level is a pass over the texts; levels grow fourfold
 TABLE_BITS = 27  # of the largest bit table: 16 MB
 PROBES = 3
@@ -45,8 +45,8 @@ def corpus(docs: DataFrame) -> DataFrame:
 # --- terms of a slice of texts -----------------------------------------------
 
 
-def _terms(part: Slice) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
-    """Distinct terms of a slice, lower-cased, and of each occurrence its term and its row."""
+def _terms(part: Slice, above: int = 0) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
+    """Distinct terms of a slice of more than `above` bytes, lower-cased, and of each occurrence its term and its row."""
     solid = ~GAPS[part.data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
@@ -56,8 +56,13 @@ def _terms(part: Slice) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
     before = np.cumsum(solid, dtype=np.int32)  # bytes of terms up to each place
     offsets = np.append(before[places] - np.int32(1), before[-1:])
     words = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(LOWER[part.data[solid]])])
-    coded = words.dictionary_encode()
-    rows = np.repeat(np.arange(len(part)), np.diff(np.searchsorted(places, part.offsets)))
+    if above:  # most are shorter, and hashing them is most of the work
+        longer = np.flatnonzero(np.diff(offsets) > above)
+        coded = words.take(pa.array(longer)).dictionary_encode()
+        rows = np.searchsorted(part.offsets, places[longer], side="right") - 1
+    else:
+        coded = words.dictionary_encode()
+        rows = np.repeat(np.arange(len(part)), np.diff(np.searchsorted(places, part.offsets)))
     return coded.dictionary, coded.indices.to_numpy(), rows
 
 
@@ -163,14 +168,12 @@ def _level(texts: DataFrame, spark: SparkSession, stayed: BitTable | None, below
         table = shared.value
         for batch in batches:
             for part in slices(batch.column("text"), SLICE_BYTES):
-                terms, code, row = _terms(part)
+                terms, code, row = _terms(part, below)
+                if not len(code):
+                    continue
                 langs = batch.column("lang").slice(part.first, len(part)).dictionary_encode()
                 names, lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()
                 length = np.asarray(pc.binary_length(terms))
-                fits = length[code] > below
-                code, row = code[fits], row[fits]
-                if not len(code):
-                    continue
                 # one row for each language and term, then for each language and prefix
                 cell, at = _distinct(lang[row].astype(np.int64) * len(terms) + code, len(names) * len(terms))
                 own, term = np.divmod(cell, len(terms))
@@ -221,7 +224,9 @@ def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
                      keys.filter(pa.array(stay)), pa.array(count[stay])], ["lang", "source", "key", "n"])
 
     found = texts.mapInArrow(run, "lang string, source string, key binary, n long")
-    return found.groupBy("lang", "source", "key").agg(F.sum("n").alias("n")).join(kept.select("lang", "key"), ["lang", "key"], "left_semi")
+    # Joins name the key first: rows are sorted by it, and sorts tell rows apart by the first column's first bytes.
+    return (found.groupBy("lang", "source", "key").agg(F.sum("n").alias("n"))
+            .join(kept.select("lang", "key"), ["key", "lang"], "left_semi").select("lang", "source", "key", "n"))
 
 
 def share(n: Column | int, total: Column, terms: Column) -> Column:
@@ -259,9 +264,9 @@ def divergence(docs: DataFrame, support: int = 3, shown: int = SHOWN) -> DataFra
 
 def _terms_above(counts: DataFrame, shares: DataFrame, shown: int) -> DataFrame:
     """A limit of `shown` rows a group is taken in each task before anything is shuffled by group."""
-    whole = counts.groupBy("lang", "key").agg(F.sum("n").alias("n_lang"))
+    whole = counts.groupBy("key", "lang").agg(F.sum("n").alias("n_lang"))
     q = share(F.col("n_lang"), F.col("sum_lang"), F.col("terms"))
-    above = shares.join(whole, ["lang", "key"]).withColumn("q", q).where("p > q").select(
+    above = shares.join(whole, ["key", "lang"]).withColumn("q", q).where("p > q").select(
         "lang", "source", F.lit("term").alias("part"), F.col("key").cast("string").alias("item"),
         F.expr("(p - q) * (p - q) div q").alias("value"))
     first = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")

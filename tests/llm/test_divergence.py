@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from harness.compare import open_duckdb
@@ -108,3 +109,13 @@ def test_terms_of_sixteen_bytes_take_one_pass(spark, monkeypatch):
     kept = divergence.kept_terms(spark.createDataFrame([(t, "en", "s") for t in texts], "text string, lang string, source string"))
     assert sorted((bytes(r["key"]), r["n_docs"]) for r in kept.collect()) == [(b"abcdefghijklmnop", 3), (b"short", 3), (b"tenletters", 3)]
     assert passes == [16]
+
+
+def test_a_later_level_hashes_its_longer_terms_alone():
+    texts = ["a bb CCCC", "", None, "dddd bb,cccc", "é", "eeééé a"]
+    part = next(divergence.slices(pa.array(texts, pa.string()), 1 << 20))
+    terms, code, row = divergence._terms(part, 3)
+    assert [(terms[int(c)].as_py(), int(r)) for c, r in zip(code, row)] == [
+        (b"cccc", 0), (b"dddd", 3), (b"cccc", 3), ("eeééé".encode(), 5)]
+    assert terms.to_pylist() == [b"cccc", b"dddd", "eeééé".encode()]
+    assert not len(divergence._terms(part, 100)[1])
