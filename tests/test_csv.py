@@ -177,3 +177,13 @@ def test_layouts_are_consistent():
             assert order.index(parent) < order.index(child)
     for table in RAW_PRIMARY_KEYS:
         assert raw_columns(table)[0].name == "id"
+
+
+def test_quotes_are_counted_without_counting_characters(spark):
+    """Every byte of a file passes here twice; characters of any width beside quotes change nothing."""
+    from lamina.sources.csv import _quotes
+
+    assert "length(" not in _quotes()._jc.toString().replace("octet_length(", "")
+    lines = ['', '"', 'é"日"', '"😀"",""', "plain"]
+    df = spark.range(1).select(F.explode(F.array(*map(F.lit, lines))).alias("value")).select("value", _quotes().alias("n"))
+    assert {r["value"]: r["n"] for r in df.collect()} == {x: x.count('"') for x in lines}
